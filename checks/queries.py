@@ -137,7 +137,7 @@ def mart_roundtrip(x: Layers) -> DataFrame:
 def export_marts_json(x: Layers) -> DataFrame:
     """Sections written as JSON and read back: records and revenue per section."""
     root = fresh_folder(x.spark, "export")
-    written = reports.export_json(x.marts, root, LOADED_AT)
+    written = reports.export_json(x.marts, root, LOADED_AT, AS_OF)
     revenue = {
         "daily_sales": "gross_revenue_idr",
         "products": "total_revenue_generated_idr",

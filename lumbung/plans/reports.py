@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from lumbung import constants as C
 from lumbung.functions.amounts import as_money, count_where, percent_or_zero, sum_where
 from lumbung.functions.text import contains_ignoring_case
 from lumbung.operators.shares import with_share
+from lumbung.plans.quality import mart_report
 
 PRODUCT_SORTS = {
     "revenue": "total_revenue_generated_idr",
@@ -260,7 +261,18 @@ def revenue_reconciliation(layer: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
-def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime) -> dict[str, DataFrame]:
+def run_metadata(marts: Mapping[str, DataFrame], as_of: date, generated_at: datetime) -> DataFrame:
+    """What the data tests said about these marts."""
+    tests = mart_report(marts, as_of).agg(
+        count_where(F.col("passed")).alias("tests_passed"), F.count("*").alias("tests_total")
+    )
+    verdict = F.when(F.col("tests_passed") == F.col("tests_total"), "PASSED").otherwise("FAILED")
+    return tests.select(
+        "*", verdict.alias("quality_gate_status"), F.lit(generated_at).cast("timestamp").alias("last_run")
+    )
+
+
+def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime, as_of: date) -> dict[str, DataFrame]:
     """All sections of the downstream export."""
     customers, products = marts["dim_customers"], marts["dim_products"]
     fact, daily = marts["fact_order_items"], marts["fct_daily_sales"]
@@ -270,6 +282,7 @@ def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime) -> d
     return {
         "generated": origin,
         "summary": kpi_summary(daily, fact, customers, products),
+        "run_metadata": run_metadata(marts, as_of, generated_at),
         "daily_sales": daily_sales_extract(daily),
         "products": product_ranking(products),
         "customer_tiers": tier_summary(customers),
@@ -277,13 +290,15 @@ def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime) -> d
     }
 
 
-def export_json(marts: Mapping[str, DataFrame], folder: str, generated_at: datetime) -> dict[str, T.StructType]:
+def export_json(
+    marts: Mapping[str, DataFrame], folder: str, generated_at: datetime, as_of: date
+) -> dict[str, T.StructType]:
     """Write each section as JSON lines below ``folder``; returns the sections with their schemas.
 
-    Writing is distributed like any other output, and files appear in the order
-    of the section's sort.
+    Writing is distributed like any other output; files are numbered in the
+    order of the section's sort.
     """
-    sections = export_sections(marts, generated_at)
+    sections = export_sections(marts, generated_at, as_of)
     for name, frame in sections.items():
         frame.write.mode("overwrite").json(f"{folder}/{name}")
     return {name: frame.schema for name, frame in sections.items()}

@@ -1,0 +1,75 @@
+import os
+import sys
+from datetime import datetime
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from lumbung.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[8]",
+        **{
+            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+OLD, NEW = datetime(2026, 1, 1), datetime(2026, 1, 2)
+
+
+@pytest.fixture(scope="session")
+def raw_customers(spark):
+    """``raw_customers((id, {field: value}), ...)`` with sensible defaults."""
+
+    def build(*rows):
+        fields = ("full_name", "email", "city", "signup_date", "segment", "phone", "gender", "_loaded_at")
+        default = ("Siti", "siti@mail.com", "Bandung", "2024-05-01", "regular", "+6281", "F", NEW)
+        data = [(key, *[over.get(f, d) for f, d in zip(fields, default)]) for key, over in rows]
+        return spark.createDataFrame(
+            data,
+            "customer_id string, full_name string, email string, city string, signup_date string, segment string, "
+            "phone string, gender string, _loaded_at timestamp",
+        )
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def raw_products(spark):
+    def build(*rows):
+        fields = ("sku", "product_name", "category", "price", "cost", "stock_qty", "weight_gram", "is_active", "_loaded_at")
+        default = ("SKU-1", "Kopi", "Makanan", "1000", "600", "50", "500", "True", NEW)
+        data = [(key, *[over.get(f, d) for f, d in zip(fields, default)]) for key, over in rows]
+        return spark.createDataFrame(
+            data,
+            "product_id string, sku string, product_name string, category string, price string, cost string, "
+            "stock_qty string, weight_gram string, is_active string, _loaded_at timestamp",
+        )
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def raw_orders(spark):
+    def build(*rows):
+        fields = ("customer_id", "order_date", "status", "payment_method", "channel", "total_amount", "items", "_loaded_at")
+        default = ("C1", "2026-09-03T10:00:00+00:00", "completed", "COD", "website", "0", "[]", NEW)
+        data = [(key, *[over.get(f, d) for f, d in zip(fields, default)]) for key, over in rows]
+        return spark.createDataFrame(
+            data,
+            "order_id string, customer_id string, order_date string, status string, payment_method string, "
+            "channel string, total_amount string, items string, _loaded_at timestamp",
+        )
+
+    return build
