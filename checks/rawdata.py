@@ -53,7 +53,8 @@ def raw_orders(spark: SparkSession, folder: str, document_items: int = DOCUMENT_
     ...). That keeps all lines, and no task ever gathers more than one
     document's worth of them. The given tables have no such order.
     """
-    lines = raw_lines(spark, folder)
+    # The salt is drawn on the file scan, where a repeated task draws the same one, and splits exact copies too.
+    lines = raw_lines(spark, folder).withColumn("salt", F.monotonically_increasing_id())
     large = (
         lines.groupBy("l_orderkey")
         .count()
@@ -62,9 +63,7 @@ def raw_orders(spark: SparkSession, folder: str, document_items: int = DOCUMENT_
     )
     parted = lines.join(large, "l_orderkey", "left").select(
         *lines.columns,
-        F.when(F.col("parts").isNull(), 0)
-        .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int"))
-        .alias("part"),
+        F.when(F.col("parts").isNull(), 0).otherwise(F.pmod("salt", "parts").cast("int")).alias("part"),
     )
     item = F.struct("product_id", "qty", "unit_price", "discount")
     documents = parted.groupBy("l_orderkey", "part").agg(F.to_json(F.collect_list(item)).alias("items"))

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,7 @@ from lumbung.constants import CUSTOMER_EXPORT, ORDER_COLLECTION, PRODUCT_EXPORT
 from lumbung.plans import customers, line_items, products, quality, sales, staging
 from lumbung.session import prepare
 from lumbung.sources import exports, landing
-from lumbung.sources.tables import publish, refresh, run_folder, settle
+from lumbung.sources.tables import publish, refresh, run_folder, settle, together
 
 PUBLISHED = "published"
 SKIPPED = "skipped"
@@ -32,18 +33,31 @@ def build_marts(raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFram
     because several marts read them; every mart then reads only the columns it
     needs. Each mart is handed back as read from its table.
     """
-    clean_customers = settle(staging.stg_customers(raw["customers"]), "stg_customers")
-    clean_products = settle(staging.stg_products(raw["products"]), "stg_products")
+    spark = raw["orders"].sparkSession
+    clean = together(
+        spark,
+        {
+            "customers": lambda: settle(staging.stg_customers(raw["customers"]), "stg_customers"),
+            "products": lambda: settle(staging.stg_products(raw["products"]), "stg_products"),
+        },
+    )
     clean_orders = staging.stg_orders(raw["orders"])
-    layer = settle(line_items.line_item_layer(clean_orders, clean_products, clean_customers), "line_items")
+    layer = settle(line_items.line_item_layer(clean_orders, clean["products"], clean["customers"]), "line_items")
     metrics = customers.int_customer_metrics(layer)
     sold = products.product_sales_metrics(layer)
-    return {
-        "dim_customers": refresh(customers.dim_customers(clean_customers, metrics), f"{folder}/dim_customers"),
-        "dim_products": refresh(products.dim_products(clean_products, sold), f"{folder}/dim_products"),
-        "fact_order_items": refresh(sales.fact_order_items(layer), f"{folder}/fact_order_items"),
-        "fct_daily_sales": refresh(sales.fct_daily_sales(layer), f"{folder}/fct_daily_sales", order_by="order_date"),
-    }
+    return together(
+        spark,
+        {
+            "dim_customers": lambda: refresh(
+                customers.dim_customers(clean["customers"], metrics), f"{folder}/dim_customers"
+            ),
+            "dim_products": lambda: refresh(products.dim_products(clean["products"], sold), f"{folder}/dim_products"),
+            "fact_order_items": lambda: refresh(sales.fact_order_items(layer), f"{folder}/fact_order_items"),
+            "fct_daily_sales": lambda: refresh(
+                sales.fct_daily_sales(layer), f"{folder}/fct_daily_sales", order_by="order_date"
+            ),
+        },
+    )
 
 
 def load_raw(spark: SparkSession, landing_root: str, warehouse: str, loaded_at: datetime) -> dict[str, DataFrame] | None:
@@ -61,7 +75,9 @@ def load_raw(spark: SparkSession, landing_root: str, warehouse: str, loaded_at:
         "products": exports.read_products(spark, f"{landing_root}/{PRODUCT_EXPORT}", products_name, loaded_at),
         "orders": exports.read_orders(spark, f"{landing_root}/{ORDER_COLLECTION}", loaded_at),
     }
-    return {name: refresh(frame, f"{warehouse}/raw/{name}") for name, frame in read.items()}
+    return together(
+        spark, {name: partial(refresh, frame, f"{warehouse}/raw/{name}") for name, frame in read.items()}
+    )
 
 
 def run(spark: SparkSession, landing_root: str, warehouse: str, as_of: date, loaded_at: datetime) -> Outcome:

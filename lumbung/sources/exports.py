@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumbung.constants import CUSTOMER_FIELDS, ORDER_FIELDS, PRODUCT_FIELDS
 from lumbung.schemas import ORDER_DOCUMENT
@@ -52,15 +53,20 @@ def read_products(spark: SparkSession, folder: str, export_name: str, loaded_at:
 def read_orders(
     spark: SparkSession, path: str, loaded_at: datetime, source_system: str = "documents"
 ) -> DataFrame:
-    """Order documents, one JSON object per line; the nested items stay JSON text, ``[]`` when absent."""
+    """Order documents from files, one JSON object per line; the nested items stay JSON text."""
     documents = spark.read.schema(ORDER_DOCUMENT).option("mode", "FAILFAST").json(path)
-    return with_order_provenance(
-        documents.withColumn("items", F.coalesce("items", F.lit("[]"))), loaded_at, source_system
-    )
+    return raw_orders_from(documents, loaded_at, source_system)
+
 
+def raw_orders_from(documents: DataFrame, loaded_at: datetime, source_system: str) -> DataFrame:
+    """Raw order rows from any source of documents, such as a document store's own Spark reader.
 
-def with_order_provenance(orders: DataFrame, loaded_at: datetime, source_system: str) -> DataFrame:
-    return orders.select(
+    Items may be JSON text or a nested array; ``[]`` stands for absent ones.
+    """
+    items = F.col("items")
+    if not isinstance(documents.schema["items"].dataType, T.StringType):
+        items = F.to_json(items)
+    return documents.withColumn("items", F.coalesce(items, F.lit("[]"))).select(
         *ORDER_FIELDS,
         F.lit(source_system).alias("_source_system"),
         F.lit(loaded_at).cast("timestamp").alias("_loaded_at"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,13 @@ def refresh(frame: DataFrame, path: str, order_by: str | None = None) -> DataFra
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def together(spark: SparkSession, jobs: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent writes side by side, so that one job's last tasks do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 def settle(frame: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder once and continue from there.
 

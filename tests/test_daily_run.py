@@ -133,3 +133,16 @@ def test_refresh_replaces_and_clusters(spark, tmp_path):
     refresh(spark.range(100), path)
     again = refresh(spark.range(10), path, order_by="id")
     assert sorted(r.id for r in again.collect()) == list(range(10))
+
+
+def test_documents_from_another_reader(spark, shop):
+    """Nested arrays, as a document store's reader delivers them, end up as the same raw rows."""
+    nested = spark.createDataFrame(
+        [("O1", "C1", "2026-09-03T02:00:00+07:00", "completed", "COD", "website", 1900.5, [("P1", 2, 1000.25)]),
+         ("O2", "C1", None, None, None, None, None, None)],
+        "order_id string, customer_id string, order_date string, status string, payment_method string, channel string, "
+        "total_amount double, items array<struct<product_id:string,qty:int,unit_price:double>>",
+    )
+    rows = {r.order_id: r for r in exports.raw_orders_from(nested, LOADED_AT, "store").collect()}
+    assert json.loads(rows["O1"]["items"]) == [{"product_id": "P1", "qty": 2, "unit_price": 1000.25}]
+    assert (rows["O2"]["items"], rows["O1"]._source_system) == ("[]", "store")
