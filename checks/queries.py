@@ -272,7 +272,9 @@ def line_metrics(x: Layers) -> DataFrame:
 
 @query
 def surrogate_keys(x: Layers) -> DataFrame:
-    lines = x.line_items.select(F.lit("line").alias("kind"), F.col("order_item_id").alias("surrogate_key"))
+    lines = line_items.int_order_items(x.line_items).select(
+        F.lit("line").alias("kind"), F.col("order_item_id").alias("surrogate_key")
+    )
     days = x.compute_daily().select(F.lit("day").alias("kind"), F.col("daily_sales_id").alias("surrogate_key"))
     return lines.unionByName(days)
 

@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.functions.amounts import as_money
-from lumbung.schemas import ITEM_TEXT
+from lumbung.schemas import ITEMS
+
+
+def whole_number(value: Column) -> Column:
+    """A decimal as an integer; a fraction fails the query."""
+    number = value.cast("int")
+    return F.when(number != value, F.raise_error(F.concat(F.lit("not a whole number: "), value.cast("string")))).otherwise(
+        number
+    )
 
 
 def parse_items(items: Column) -> Column:
@@ -18,14 +25,14 @@ def parse_items(items: Column) -> Column:
     """
     text = F.when(F.trim(items) != F.lit("null"), items)
     typed = F.transform(
-        F.from_json(text, ITEM_TEXT, {"mode": "FAILFAST"}),
+        F.from_json(text, ITEMS, {"mode": "FAILFAST"}),
         lambda item: F.struct(
             item["product_id"].isNull().alias("without_product"),
             item["product_id"].alias("product_id"),
-            item["qty"].cast("int").alias("qty"),
-            as_money(item["unit_price"]).alias("unit_price"),
-            as_money(item["discount"]).alias("discount"),
-            as_money(item["subtotal"]).alias("subtotal"),
+            whole_number(item["qty"]).alias("qty"),
+            item["unit_price"].alias("unit_price"),
+            item["discount"].alias("discount"),
+            item["subtotal"].alias("subtotal"),
         ),
     )
     return F.sort_array(typed)

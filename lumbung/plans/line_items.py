@@ -9,9 +9,9 @@ from lumbung.functions.amounts import as_money, at_least, not_below_zero
 from lumbung.functions.keys import order_item_key
 from lumbung.operators.unnest import explode_items
 
-# The public columns; the layer itself also carries the helpers below.
+# The layer: public columns except the key, which is made from two others when it is needed, and helpers.
 LINE_ITEM_COLUMNS = (
-    "order_item_id", "order_id", "customer_id", "ordered_at", "order_date", "order_status", "payment_method",
+    "order_id", "customer_id", "ordered_at", "order_date", "order_status", "payment_method",
     "channel", "product_id", "product_name", "category", "qty", "unit_price_idr", "discount_idr",
     "gross_revenue_idr", "cogs_idr", "gross_profit_idr",
 )
@@ -70,8 +70,8 @@ def price_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
 def line_item_layer(orders: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Line items plus helper columns. Write this once and compute every mart from it."""
     lines = price_lines(unnest_orders(with_registration(orders, customers)), products)
-    return lines.withColumn("order_item_id", order_item_key()).select(*LINE_ITEM_COLUMNS, *HELPER_COLUMNS)
+    return lines.select(*LINE_ITEM_COLUMNS, *HELPER_COLUMNS)
 
 
 def int_order_items(layer: DataFrame) -> DataFrame:
-    return layer.select(*LINE_ITEM_COLUMNS)
+    return layer.select(order_item_key().alias("order_item_id"), *LINE_ITEM_COLUMNS)

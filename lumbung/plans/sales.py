@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumbung import constants as C
 from lumbung.functions.amounts import as_money, count_where, percent, sum_where
-from lumbung.functions.keys import daily_sales_key
+from lumbung.functions.keys import daily_sales_key, order_item_key
 
 DAILY_KEYS = ("order_date", "category", "payment_method", "channel")
 
@@ -16,7 +16,7 @@ def fact_order_items(layer: DataFrame) -> DataFrame:
     """Line fact. Registration was resolved per order, so this is a projection: no join, no shuffle."""
     registered = F.col("is_registered_customer")
     return layer.select(
-        "order_item_id",
+        order_item_key().alias("order_item_id"),
         "order_id",
         F.when(registered, F.col("customer_id")).otherwise(F.lit(C.UNKNOWN_ID)).alias("customer_id"),
         F.col("customer_id").alias("raw_customer_id"),

@@ -21,7 +21,21 @@ ORDER_DOCUMENT = T.StructType(
     ]
 )
 
-# Item fields arrive as text, so that a malformed number fails in the cast instead of turning into NULL.
+# Items with numbers parsed right away. Quantities are read as decimals, so that a fraction can be told
+# from a whole number; a text where a number belongs is accepted when it spells one.
+ITEMS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("product_id", T.StringType()),
+            T.StructField("qty", T.DecimalType(18, 4)),
+            T.StructField("unit_price", MONEY),
+            T.StructField("discount", MONEY),
+            T.StructField("subtotal", MONEY),
+        ]
+    )
+)
+
+# Items with all fields as they are written, for checks that look at malformed ones.
 ITEM_TEXT = T.ArrayType(
     T.StructType(
         [
