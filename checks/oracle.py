@@ -338,12 +338,14 @@ expect(
 )
 expect(
     "unnest_order_items",
-    f"""select order_id, order_status, product_id, raw_qty as qty, {dbl('unit_price', 'discount')},
+    f"""select order_id, order_status, product_id, cast(raw_qty as double) as qty, {dbl('unit_price', 'discount')},
                cast(null as double) as subtotal from items""",
     "items",
 )
 expect(
-    "line_index", "select order_id, cast(item_index as int) as item_index, product_id, raw_qty as qty from items", "items"
+    "line_index",
+    "select order_id, cast(item_index as int) as item_index, product_id, cast(raw_qty as double) as qty from items",
+    "items",
 )
 MONEY5 = dbl("unit_price_idr", "discount_idr", "gross_revenue_idr", "cogs_idr", "gross_profit_idr")
 expect(

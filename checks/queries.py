@@ -245,13 +245,19 @@ def stg_orders(x: Layers) -> DataFrame:
 @query
 def unnest_order_items(x: Layers) -> DataFrame:
     lines = explode_items(x.stg_orders.select("order_id", "order_status", "items_jsonb"))
-    return lines.select("order_id", "order_status", "product_id", "qty", "unit_price", "discount", "subtotal")
+    # Nullable quantities leave as doubles, like amounts.
+    return lines.select(
+        "order_id", "order_status", "product_id", F.col("qty").cast("double").alias("qty"),
+        "unit_price", "discount", "subtotal",
+    )
 
 
 @query
 def line_index(x: Layers) -> DataFrame:
     lines = explode_items(x.stg_orders.select("order_id", "items_jsonb"))
-    return lines.select("order_id", F.col("line_no").alias("item_index"), "product_id", "qty")
+    return lines.select(
+        "order_id", F.col("line_no").alias("item_index"), "product_id", F.col("qty").cast("double").alias("qty")
+    )
 
 
 @query

@@ -66,7 +66,9 @@ def raw_orders(spark: SparkSession, folder: str, document_items: int = DOCUMENT_
         F.when(F.col("parts").isNull(), 0).otherwise(F.pmod("salt", "parts").cast("int")).alias("part"),
     )
     item = F.struct("product_id", "qty", "unit_price", "discount")
-    documents = parted.groupBy("l_orderkey", "part").agg(F.to_json(F.collect_list(item)).alias("items"))
+    # Gathering does not shrink anything, so lines are shuffled as they are and gathered afterwards.
+    gathered = parted.repartition("l_orderkey", "part").groupBy("l_orderkey", "part")
+    documents = gathered.agg(F.to_json(F.collect_list(item)).alias("items"))
     heads = raw_order_heads(spark, folder)
     joined = heads.join(documents, heads["o_orderkey"] == documents["l_orderkey"], "left")
     suffix = F.when(F.col("part") > 0, F.concat(F.lit("-"), (F.col("part") + 1).cast("string"))).otherwise("")

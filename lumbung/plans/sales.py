@@ -45,7 +45,8 @@ def fct_daily_sales(layer: DataFrame) -> DataFrame:
     an order lie together, so the first step shrinks the data before its
     shuffle; its key contains the order, so a group with a large part of all
     lines is spread over all tasks, and the second step ships one partial row
-    per group and task.
+    per group and task. Profits are taken from the sums, which is exact and
+    saves a third of the decimal additions.
     """
     completed = F.col("order_status") == C.STATUS_COMPLETED
     per_order = layer.groupBy(*DAILY_KEYS, "order_id", "order_status").agg(
@@ -53,7 +54,6 @@ def fct_daily_sales(layer: DataFrame) -> DataFrame:
         F.sum("gross_revenue_idr").alias("revenue"),
         F.sum(as_money(F.col("discount_idr") * F.col("qty"))).alias("discount"),
         F.sum("cogs_idr").alias("cogs"),
-        F.sum("gross_profit_idr").alias("profit"),
     )
     named = F.col("order_id").isNotNull()
     per_group = per_order.groupBy(*DAILY_KEYS).agg(
@@ -64,12 +64,17 @@ def fct_daily_sales(layer: DataFrame) -> DataFrame:
         F.sum("revenue").alias("gross_revenue_idr"),
         F.sum("discount").alias("total_discount_idr"),
         F.sum("cogs").alias("total_cogs_idr"),
-        F.sum("profit").alias("gross_profit_idr"),
         sum_where(completed, F.col("revenue")).alias("net_revenue_idr"),
-        sum_where(completed, F.col("profit")).alias("net_profit_idr"),
+        sum_where(completed, F.col("cogs")).alias("_net_cogs"),
     )
+    net_profit = F.col("net_revenue_idr") - F.col("_net_cogs")
     return per_group.select(
         daily_sales_key().alias("daily_sales_id"),
-        *per_group.columns,
-        percent(F.col("net_profit_idr"), F.col("net_revenue_idr")).alias("net_profit_margin_percentage"),
+        *DAILY_KEYS,
+        "total_orders", "completed_orders", "cancelled_orders", "total_units_sold",
+        "gross_revenue_idr", "total_discount_idr", "total_cogs_idr",
+        (F.col("gross_revenue_idr") - F.col("total_cogs_idr")).alias("gross_profit_idr"),
+        "net_revenue_idr",
+        net_profit.alias("net_profit_idr"),
+        percent(net_profit, F.col("net_revenue_idr")).alias("net_profit_margin_percentage"),
     )
