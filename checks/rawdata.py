@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from checks.raw_sql import RAW_CUSTOMERS, RAW_LINES, RAW_ORDER_HEADS, RAW_PRODUCTS
 from lumbung.plans import customers, line_items, products, sales, staging
-from lumbung.session import prepare
+from lumbung.session import prepare, size_shuffles
+from lumbung.sources.landing import stored_bytes
 from lumbung.sources.tables import settle
 
 AS_OF = date(2026, 12, 31)
@@ -88,10 +89,20 @@ class Layers:
     """
 
     _written: dict[tuple[str, str, str], str] = {}
+    _sizes: dict[tuple[str, str], int] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
+        self._size_shuffles()
+
+    def _size_shuffles(self) -> None:
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in self._sizes:
+            tables = [f"{self.folder}/{name}.parquet" for name in ("lineitem", "orders", "customer", "part")]
+            self._sizes[key] = stored_bytes(self.spark, *tables)
+        # Parquet files hold about a quarter of the bytes of the rows made from them.
+        size_shuffles(self.spark, 4 * self._sizes[key])
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumbung.constants import CUSTOMER_EXPORT, ORDER_COLLECTION, PRODUCT_EXPORT
 from lumbung.plans import customers, line_items, products, quality, sales, staging
-from lumbung.session import prepare
+from lumbung.session import prepare, size_shuffles
 from lumbung.sources import exports, landing
 from lumbung.sources.tables import publish, refresh, run_folder, settle, together
 
@@ -69,6 +69,7 @@ def load_raw(spark: SparkSession, landing_root: str, warehouse: str, loaded_at:
     newest = {r["dataset"]: r for r in landing.newest_exports(listings[0].unionByName(listings[1])).collect()}
     if len(newest) < 2 or not all(r["is_valid"] for r in newest.values()):
         return None
+    size_shuffles(spark, landing.stored_bytes(spark, f"{landing_root}/{ORDER_COLLECTION}"))
     customers_name, products_name = newest[CUSTOMER_EXPORT]["export_name"], newest[PRODUCT_EXPORT]["export_name"]
     read = {
         "customers": exports.read_customers(spark, f"{landing_root}/{CUSTOMER_EXPORT}", customers_name, loaded_at),

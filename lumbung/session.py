@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import math
 import tempfile
 import uuid
 
@@ -22,6 +24,11 @@ ADAPTIVE = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# A partition of this much input sorts in an executor's memory or with a little spill.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
+# Beyond this, bookkeeping of shuffle blocks costs more than larger partitions do.
+MOST_SHUFFLE_PARTITIONS = 50_000
+
 
 def build_session(app: str = "lumbung", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -40,6 +47,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Give shuffles enough partitions for the size of the input.
+
+    Adaptive execution merges partitions that turn out small but does not split
+    ordinary ones, so the starting number has to follow the data. Small inputs
+    keep the session's own setting.
+    """
+    wanted = min(math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by the cluster in ``spark.checkpoint.dir``.
 
@@ -50,9 +69,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="lumbung-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return local_folder()
+
+
+@functools.cache
+def local_folder() -> str:
+    return tempfile.mkdtemp(prefix="lumbung-")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -38,6 +38,12 @@ def list_exports(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
     )
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files at or below the paths, from the file listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def newest_exports(listing: DataFrame) -> DataFrame:
     """The newest export of each dataset by name, and whether it holds any data."""
     return (

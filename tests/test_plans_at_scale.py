@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumbung.plans import customers, line_items, products, quality, reports, sales
 from lumbung.schemas import MONEY
+from lumbung.session import size_shuffles
 from lumbung.sources.tables import settle
 
 HOT = 30_000
@@ -149,6 +150,15 @@ def test_exact_order_counts_need_no_distinct(layer):
     assert counts.first().total_orders == HOT
 
 
+@pytest.mark.parametrize(("size", "partitions"), [(10**6, None), (10**12, "3726"), (10**14, "50000")])
+def test_shuffle_partitions_follow_the_input(spark, size, partitions):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.unset(key)
+    size_shuffles(spark, size)
+    assert spark.conf.get(key, None) == partitions
+    spark.conf.unset(key)
+
+
 def test_one_large_document(orders, catalogue, people):
     """A document is one row; its lines are numbered in that row."""
     lines = json.dumps([{"product_id": f"P{i % 7}", "qty": 1, "unit_price": 1} for i in range(20_000)])
