@@ -55,6 +55,10 @@ NO_CATEGORY = "None"
 # Display names of the sales channels; others keep their own name.
 CHANNEL_LABELS = {"mobile_app": "Mobile App", "marketplace": "Marketplace", "website": "Website"}
 
+# Names of the two sides of the guest audit in the export.
+REGISTERED_LABEL = "Registered CRM Customers"
+GUEST_LABEL = "Guest Checkout (Kimball 'UNKNOWN' Preserved)"
+
 # Filter value that selects everything.
 ALL = "ALL"
 

@@ -281,6 +281,7 @@ def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime, as_o
     """All sections of the downstream export."""
     customers, products = marts["dim_customers"], marts["dim_products"]
     fact, daily = marts["fact_order_items"], marts["fct_daily_sales"]
+    side = F.when(F.col("is_registered_customer"), C.REGISTERED_LABEL).otherwise(C.GUEST_LABEL)
     origin = customers.sparkSession.range(1).select(
         F.lit(generated_at).cast("timestamp").alias("generated_at"), F.lit("marts").alias("source")
     )
@@ -291,7 +292,7 @@ def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime, as_o
         "daily_sales": daily_sales_extract(daily),
         "products": product_ranking(products),
         "customer_tiers": tier_summary(customers),
-        "kimball_audit": guest_audit(fact),
+        "kimball_audit": guest_audit(fact).withColumn("label", side),
     }
 
 

@@ -158,6 +158,8 @@ def test_export_has_all_sections(spark, marts, tmp_path):
     }
     assert read["daily_sales"].count() == 4
     assert read["run_metadata"].first().tests_passed == 19
+    labels = {r.is_registered_customer: r.label for r in read["kimball_audit"].collect()}
+    assert labels[True].startswith("Registered") and labels[False].startswith("Guest")
 
 
 # ---------------------------------------------------------------- data tests
