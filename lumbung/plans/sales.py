@@ -46,7 +46,7 @@ def fct_daily_sales(layer: DataFrame) -> DataFrame:
     shuffle; its key contains the order, so a group with a large part of all
     lines is spread over all tasks, and the second step ships one partial row
     per group and task. Profits are taken from the sums, which is exact and
-    saves a third of the decimal additions.
+    saves two of ten decimal additions.
     """
     completed = F.col("order_status") == C.STATUS_COMPLETED
     per_order = layer.groupBy(*DAILY_KEYS, "order_id", "order_status").agg(
