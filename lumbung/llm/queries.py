@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lumbung.llm import simhash
-from lumbung.llm.tables import table
+from lumbung.llm import bpe, simhash
+from lumbung.llm.tables import ids_and_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,19 @@ def op1_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = ids_and_texts(table(spark, folder, "documents")).select("doc_id", bpe.encode("text").alias("ids"))
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode("ids"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_golay": op1_simhash_golay,
+    "op4_byte_bpe": op4_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {}
