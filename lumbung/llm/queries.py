@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import bpe, mixing, secret_scan, sharding, simhash
+from lumbung.llm import bpe, digest, mixing, secret_scan, sharding, simhash
 from lumbung.llm.tables import ids_and_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op2_secret_novelty(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_rare_window_digest(spark: SparkSession, folder: str) -> DataFrame:
+    found = digest.digests(table(spark, folder, "documents"))
+    columns = ("fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), *columns)
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokens = ids_and_texts(table(spark, folder, "documents")).select("doc_id", bpe.encode("text").alias("ids"))
     return tokens.select(
@@ -58,6 +64,7 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash_golay": op1_simhash_golay,
     "op2_secret_novelty": op2_secret_novelty,
+    "op3_rare_window_digest": op3_rare_window_digest,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_jump_shards": op6_jump_shards,
     "op8_source_mix": op8_source_mix,
