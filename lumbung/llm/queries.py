@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import bpe, digest, mixing, secret_scan, sharding, simhash
+from lumbung.llm import bpe, digest, mixing, pages, secret_scan, sharding, simhash
 from lumbung.llm.tables import ids_and_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
 
 
+def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extracted(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_golay": op1_simhash_golay,
     "op2_secret_novelty": op2_secret_novelty,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_jump_shards": op6_jump_shards,
     "op8_source_mix": op8_source_mix,
+    "op10_page_text": op10_page_text,
 }
 
 ORACLE: dict[str, str] = {
