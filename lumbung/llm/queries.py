@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import bpe, digest, mixing, pages, secret_scan, sharding, simhash
+from lumbung.llm import bpe, digest, mixing, pages, secret_scan, sharding, simhash, toxicity
 from lumbung.llm.tables import ids_and_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_fair_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op2_secret_novelty": op2_secret_novelty,
     "op3_rare_window_digest": op3_rare_window_digest,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_fair_toxicity": op5_fair_toxicity,
     "op6_jump_shards": op6_jump_shards,
     "op8_source_mix": op8_source_mix,
     "op10_page_text": op10_page_text,
