@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import bpe, digest, mixing, pages, secret_scan, sharding, simhash, toxicity
+from lumbung.llm import bpe, digest, mixing, pages, personal_data, quality_rules, secret_scan, sharding, simhash, toxicity
 from lumbung.llm.tables import ids_and_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,10 +61,24 @@ def op6_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
 
+def op7_rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
 
 
+def op9_boosted_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data.with_spans(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[F.size(of_kinds("base", kind)).cast("long").alias(f"n_{kind}") for kind in personal_data.BASE],
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extracted(table(spark, folder, "pages"))
 
@@ -76,7 +90,9 @@ QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_fair_toxicity": op5_fair_toxicity,
     "op6_jump_shards": op6_jump_shards,
+    "op7_rule_cascade": op7_rule_cascade,
     "op8_source_mix": op8_source_mix,
+    "op9_boosted_personal_data": op9_boosted_personal_data,
     "op10_page_text": op10_page_text,
 }
 
