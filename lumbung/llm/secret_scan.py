@@ -34,8 +34,8 @@ CONTEXT = re.compile(
 )
 CONTEXT_BEFORE = 48  # characters of the line before a candidate that may hold the sensitive word
 SURROUNDINGS = 512  # characters on either side that the compressor knows
-LEAST_NOVELTY = 0.8  # added bytes per character
-LEVEL = 3
+LEAST_NOVELTY = 0.9  # added bytes per character
+LEVEL = 9
 # What names in code and configuration are made of.
 IDENTIFIERS = b" ".join(
     b"""access account address admin api application archive auth authorization aws base64 basic bearer bucket build
