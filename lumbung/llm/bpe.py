@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -102,7 +102,7 @@ class Remembered(dict):
         super().__init__()
         self.lead, self.codec = lead, codec
 
-    def __missing__(self, part: str) -> tuple[int, ...] | None:
+    def __missing__(self, part: str) -> bytes | None:
         unsafe = not part or self.codec.edge.search(part)
         ids = None if unsafe else self.codec.pieces(self.lead + part)
         if len(part) <= LONGEST_REMEMBERED:
@@ -113,40 +113,58 @@ class Remembered(dict):
 
 
 class Codec:
+    """Token ids are kept as packed 32-bit numbers, which join without an object per token."""
+
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
+        tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            self.bytes_of[rank] = token
+            tokens[rank] = token
+        self.tokens = pa.array(tokens, pa.large_binary())
         self.pattern = regex.compile(pattern)
         self.edge = regex.compile(r"\A\s|\s\Z")
         self.first, self.spaced = Remembered("", self), Remembered(" ", self)
-        self.merged: dict[str, tuple[int, ...]] = {}
+        self.merged: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> tuple[int, ...]:
-        ids: list[int] = []
+    def pieces(self, text: str) -> bytes:
+        ids = []
         for piece in self.pattern.findall(text):
             found = self.merged.get(piece)
             if found is None:
-                found = tuple(merge(piece.encode(), self.ranks))
+                found = array("i", merge(piece.encode(), self.ranks)).tobytes()
                 if len(piece) <= LONGEST_REMEMBERED:
                     if len(self.merged) >= MOST_REMEMBERED:
                         self.merged.clear()
                     self.merged[piece] = found
-            ids.extend(found)
-        return tuple(ids)
+            ids.append(found)
+        return b"".join(ids)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
         """A single space always begins a pre-token, so words between single spaces can be looked up one by one."""
+        if not text:
+            return b""
         head, *rest = text.split(" ")
         found = [self.first[head], *map(self.spaced.__getitem__, rest)]
         if None in found:
-            return list(self.pieces(text))
-        return list(chain.from_iterable(found))
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+            return self.pieces(text)
+        return b"".join(found)
+
+    def encode_all(self, texts: pa.Array) -> pa.ListArray:
+        found = [self.encode(text) if text else b"" for text in texts.to_pylist()]
+        offsets = np.cumsum([0, *(len(ids) // 4 for ids in found)])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), np.frombuffer(b"".join(found), np.int32))
+
+    def decode_all(self, sequences: pa.ListArray) -> pa.Array:
+        """The bytes of each sequence of ids; those of one after another are cut at the sequences' ends."""
+        sequences = sequences.fill_null([])
+        spelled = self.tokens.take(sequences.flatten())
+        ends = np.concatenate([[0], np.cumsum(sequences.value_lengths().to_numpy())])
+        places = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset + ends]
+        data = spelled.buffers()[2]
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(sequences), [None, pa.py_buffer(places.tobytes()), data]
+        ).cast(pa.binary())
 
 
 @functools.cache
@@ -154,16 +172,15 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+IDS = T.ArrayType(T.IntegerType())
+
+
 def encode(text: str | Column, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> Column:
     """Token ids of a text column; null and empty texts have none. ``ranks`` names a file of the tokenizer folder."""
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
+    @F.arrow_udf(IDS)
     def ids(texts: pa.Array) -> pa.Array:
-        own = codec(public_tokenizers.path(ranks), pattern)
-        found = [own.encode(t) if t else [] for t in texts.to_pylist()]
-        offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
-        values = np.fromiter(chain.from_iterable(found), np.int32, int(offsets[-1]))
-        return pa.ListArray.from_arrays(offsets, values)
+        return codec(public_tokenizers.path(ranks), pattern).encode_all(texts)
 
     return ids(text)
 
@@ -173,12 +190,27 @@ def decode(ids: str | Column, ranks: str = RANKS, pattern: str = public_tokenize
 
     @F.arrow_udf(T.BinaryType())
     def text(sequences: pa.Array) -> pa.Array:
-        own = codec(public_tokenizers.path(ranks), pattern)
-        return pa.array([own.decode(s) if s else b"" for s in sequences.to_pylist()], pa.binary())
+        return codec(public_tokenizers.path(ranks), pattern).decode_all(sequences)
 
     return text(ids)
 
 
+def there_and_back(text: str | Column, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> Column:
+    """A struct of a text's ``ids`` and of the ``decoded`` bytes of those ids, in one pass.
+
+    ``decode(encode(text))`` next to ``encode(text)`` would encode twice, since Spark hands chained Python functions
+    to a worker as one.
+    """
+
+    @F.arrow_udf(T.StructType().add("ids", IDS).add("decoded", T.BinaryType()))
+    def both(texts: pa.Array) -> pa.Array:
+        own = codec(public_tokenizers.path(ranks), pattern)
+        ids = own.encode_all(texts)
+        return pa.StructArray.from_arrays([ids, own.decode_all(ids)], ["ids", "decoded"])
+
+    return both(text)
+
+
 def tokenized(docs: DataFrame) -> DataFrame:
     """Whole rows with their token ids, in a new column ``token_ids`` (underscores follow if the name is taken)."""
     name = "token_ids"

@@ -44,12 +44,12 @@ def op3_rare_window_digest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    tokens = ids_and_texts(table(spark, folder, "documents")).select("doc_id", bpe.encode("text").alias("ids"))
-    return tokens.select(
+    coded = ids_and_texts(table(spark, folder, "documents")).select("doc_id", bpe.there_and_back("text").alias("coded"))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode("ids"), 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("coded.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 
