@@ -137,7 +137,8 @@ def mart_roundtrip(x: Layers) -> DataFrame:
 def export_marts_json(x: Layers) -> DataFrame:
     """Sections written as JSON and read back: records and revenue per section."""
     root = fresh_folder(x.spark, "export")
-    written = reports.export_json(x.marts, root, LOADED_AT, AS_OF)
+    report = tables.refresh(quality.mart_report(x.marts, AS_OF), f"{root}/dq_report")
+    written = reports.export_json(x.marts, report, root, LOADED_AT)
     revenue = {
         "daily_sales": "gross_revenue_idr",
         "products": "total_revenue_generated_idr",

@@ -8,7 +8,7 @@ SQL and in DuckDB.
 
 RAW_CUSTOMERS = """
 select concat('CUST', lpad(cast(c_custkey as varchar(20)), 5, '0')) as customer_id,
-       concat('  ', c_name, ' ') as full_name,
+       case when c_custkey % 40 = 11 then concat('  "', c_name, '",', chr(10), 'Ltd. ') else concat('  ', c_name, ' ') end as full_name,
        case c_custkey % 33
          when 1 then concat('user', cast(c_custkey as varchar(20)), '@@mail.com')
          when 2 then concat('user', cast(c_custkey as varchar(20)), '_mail.com')

@@ -6,13 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.schemas import MONEY, RATIO_OPERAND
+from lumbung.schemas import AS_WRITTEN, MONEY, RATIO_OPERAND
 
 
 def as_money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+def exact_money(value: Column) -> Column:
+    """An amount as it is written; more than four decimals fail the query instead of being rounded."""
+    written = value.cast(AS_WRITTEN)
+    money = written.cast(MONEY)
+    refused = F.raise_error(F.concat(F.lit("an amount has more than four decimals: "), written.cast("string")))
+    return F.when(money != written, refused).otherwise(money)
+
+
 def at_least(value: Column, floor: int) -> Column:
     """The value or the floor, whichever is larger; NULL counts as the floor."""
     return F.greatest(value, F.lit(floor).cast("int"))

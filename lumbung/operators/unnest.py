@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.functions.amounts import exact_money
 from lumbung.schemas import ITEMS
 
 
@@ -21,7 +22,8 @@ def parse_items(items: Column) -> Column:
 
     Line order is by product (missing products last), then by the remaining
     fields, so it does not depend on how the document happened to be written.
-    Malformed JSON and malformed numbers fail the query.
+    Malformed JSON, malformed numbers, amounts with more than four decimals and
+    fractions of a piece fail the query.
     """
     text = F.when(F.trim(items) != F.lit("null"), items)
     typed = F.transform(
@@ -30,9 +32,9 @@ def parse_items(items: Column) -> Column:
             item["product_id"].isNull().alias("without_product"),
             item["product_id"].alias("product_id"),
             whole_number(item["qty"]).alias("qty"),
-            item["unit_price"].alias("unit_price"),
-            item["discount"].alias("discount"),
-            item["subtotal"].alias("subtotal"),
+            exact_money(item["unit_price"]).alias("unit_price"),
+            exact_money(item["discount"]).alias("discount"),
+            exact_money(item["subtotal"]).alias("subtotal"),
         ),
     )
     return F.sort_array(typed)

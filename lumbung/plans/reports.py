@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,6 @@ from lumbung.functions.amounts import as_money, count_where, percent_or_zero, su
 from lumbung.functions.keys import dashed_md5
 from lumbung.functions.text import contains_ignoring_case
 from lumbung.operators.shares import with_share
-from lumbung.plans.quality import mart_report
 
 PRODUCT_SORTS = {
     "revenue": "total_revenue_generated_idr",
@@ -83,7 +82,10 @@ def guest_audit(fact: DataFrame) -> DataFrame:
         F.sum("gross_revenue_idr").alias("total_revenue"),
         F.sum("gross_profit_idr").alias("total_profit"),
     )
-    return with_share(sides, "total_revenue", "percentage", digits=2)
+    # The flag has three values at most, so all sides fit into one row, and the fact is read once.
+    together = sides.agg(F.collect_list(F.struct("*")).alias("sides"), F.sum("total_revenue").alias("total"))
+    rows = together.select("total", F.inline("sides"))
+    return rows.select(*sides.columns, percent_or_zero(F.col("total_revenue"), F.col("total"), 2).alias("percentage"))
 
 
 def run_summary(customers: DataFrame, products: DataFrame, fact: DataFrame, daily: DataFrame) -> DataFrame:
@@ -266,9 +268,9 @@ def revenue_reconciliation(layer: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
-def run_metadata(marts: Mapping[str, DataFrame], as_of: date, generated_at: datetime) -> DataFrame:
-    """What the data tests said about these marts."""
-    tests = mart_report(marts, as_of).agg(
+def run_metadata(report: DataFrame, generated_at: datetime) -> DataFrame:
+    """What the data tests said, from the report that the run has stored."""
+    tests = report.agg(
         count_where(F.col("passed")).alias("tests_passed"), F.count("*").alias("tests_total")
     )
     verdict = F.when(F.col("tests_passed") == F.col("tests_total"), "PASSED").otherwise("FAILED")
@@ -277,7 +279,9 @@ def run_metadata(marts: Mapping[str, DataFrame], as_of: date, generated_at: date
     )
 
 
-def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime, as_of: date) -> dict[str, DataFrame]:
+def export_sections(
+    marts: Mapping[str, DataFrame], report: DataFrame, generated_at: datetime
+) -> dict[str, DataFrame]:
     """All sections of the downstream export."""
     customers, products = marts["dim_customers"], marts["dim_products"]
     fact, daily = marts["fact_order_items"], marts["fct_daily_sales"]
@@ -288,7 +292,7 @@ def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime, as_o
     return {
         "generated": origin,
         "summary": kpi_summary(daily, fact, customers, products),
-        "run_metadata": run_metadata(marts, as_of, generated_at),
+        "run_metadata": run_metadata(report, generated_at),
         "daily_sales": daily_sales_extract(daily),
         "products": product_ranking(products),
         "customer_tiers": tier_summary(customers),
@@ -297,14 +301,14 @@ def export_sections(marts: Mapping[str, DataFrame], generated_at: datetime, as_o
 
 
 def export_json(
-    marts: Mapping[str, DataFrame], folder: str, generated_at: datetime, as_of: date
+    marts: Mapping[str, DataFrame], report: DataFrame, folder: str, generated_at: datetime
 ) -> dict[str, T.StructType]:
     """Write each section as JSON lines below ``folder``; returns the sections with their schemas.
 
     Writing is distributed like any other output; files are numbered in the
     order of the section's sort.
     """
-    sections = export_sections(marts, generated_at, as_of)
+    sections = export_sections(marts, report, generated_at)
     for name, frame in sections.items():
         frame.write.mode("overwrite").json(f"{folder}/{name}")
     return {name: frame.schema for name, frame in sections.items()}

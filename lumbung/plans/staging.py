@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.constants import STATUS_MISSING
-from lumbung.functions.amounts import as_money, at_least
+from lumbung.functions.amounts import at_least, exact_money
 from lumbung.functions.text import has_email_format, lowered, raised, trimmed
 from lumbung.operators.latest import latest_by
 
@@ -47,7 +47,7 @@ def stg_products(raw: DataFrame) -> DataFrame:
         ),
         "product_id",
     )
-    price, cost, stock = as_money(F.col("price")), as_money(F.col("cost")), F.col("stock_qty").cast("int")
+    price, cost, stock = exact_money(F.col("price")), exact_money(F.col("cost")), F.col("stock_qty").cast("int")
     return rows.select(
         "product_id",
         trimmed("sku").alias("sku"),
@@ -82,7 +82,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
         F.col("status").isNotNull().alias("is_status_present"),
         lowered("payment_method").alias("payment_method"),
         lowered("channel").alias("channel"),
-        as_money(F.col("total_amount")).alias("total_amount_idr"),
+        exact_money(F.col("total_amount")).alias("total_amount_idr"),
         F.col("items").alias("items_jsonb"),
         VERSION,
     )

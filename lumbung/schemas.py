@@ -4,6 +4,8 @@ from pyspark.sql import types as T
 
 # Amounts of a single row. Eighteen digits stay in a machine word inside Spark and Parquet.
 MONEY = T.DecimalType(18, 4)
+# What is written, before it is checked to fit; further digits than these cannot be told apart.
+AS_WRITTEN = T.DecimalType(38, 18)
 # Operands of a ratio of sums; leaves Spark fourteen digits after the point in the quotient.
 RATIO_OPERAND = T.DecimalType(24, 4)
 
@@ -15,22 +17,22 @@ ORDER_DOCUMENT = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("payment_method", T.StringType()),
         T.StructField("channel", T.StringType()),
-        T.StructField("total_amount", MONEY),
+        T.StructField("total_amount", AS_WRITTEN),
         # A string field keeps the nested array as its JSON text.
         T.StructField("items", T.StringType()),
     ]
 )
 
-# Items with numbers parsed right away. Quantities are read as decimals, so that a fraction can be told
-# from a whole number; a text where a number belongs is accepted when it spells one.
+# Items with numbers parsed right away, with more digits than are kept, so that an amount or a quantity that
+# does not fit can be told from one that does; a text where a number belongs is accepted when it spells one.
 ITEMS = T.ArrayType(
     T.StructType(
         [
             T.StructField("product_id", T.StringType()),
-            T.StructField("qty", T.DecimalType(18, 4)),
-            T.StructField("unit_price", MONEY),
-            T.StructField("discount", MONEY),
-            T.StructField("subtotal", MONEY),
+            T.StructField("qty", AS_WRITTEN),
+            T.StructField("unit_price", AS_WRITTEN),
+            T.StructField("discount", AS_WRITTEN),
+            T.StructField("subtotal", AS_WRITTEN),
         ]
     )
 )

@@ -26,8 +26,7 @@ ADAPTIVE = {
 
 # A partition of this much input sorts in an executor's memory or with a little spill.
 INPUT_BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
-# Beyond this, bookkeeping of shuffle blocks costs more than larger partitions do.
-MOST_SHUFFLE_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def build_session(app: str = "lumbung", master: str | None = None, **extra: str) -> SparkSession:
@@ -51,12 +50,14 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Give shuffles enough partitions for the size of the input.
 
     Adaptive execution merges partitions that turn out small but does not split
-    ordinary ones, so the starting number has to follow the data. Small inputs
-    keep the session's own setting.
+    ordinary ones, so the starting number has to follow the data, without a
+    ceiling. Small inputs keep the session's own setting, also after large ones.
     """
-    wanted = min(math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+    wanted = math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_PARTITION)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    else:
+        spark.conf.unset(INITIAL_PARTITIONS)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -18,19 +18,23 @@ def read_csv_export(
     export_name: str,
     fields: tuple[str, ...],
     loaded_at: datetime,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
     """Rows of one export as text, matched to ``fields`` by header name.
 
-    Empty values stay empty text; a field the file lacks is NULL. Line breaks
-    inside quotes need ``multiline``, at the price of files that cannot be split.
+    Empty values stay empty text; a field the file lacks is NULL. A row with too
+    few or too many values, and a part file whose header differs from the
+    others', stop the read. Without ``multiline`` a file can be split over tasks,
+    but a line break inside quotes stops the read too.
     """
     rows = (
         spark.read.option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST")
+        .option("enforceSchema", "false")
+        .option("columnPruning", "false")
         .option("multiLine", str(multiline).lower())
         .csv(f"{folder.rstrip('/')}/{export_name}")
     )
@@ -42,12 +46,16 @@ def read_csv_export(
     )
 
 
-def read_customers(spark: SparkSession, folder: str, export_name: str, loaded_at: datetime) -> DataFrame:
-    return read_csv_export(spark, folder, export_name, CUSTOMER_FIELDS, loaded_at)
+def read_customers(
+    spark: SparkSession, folder: str, export_name: str, loaded_at: datetime, multiline: bool = True
+) -> DataFrame:
+    return read_csv_export(spark, folder, export_name, CUSTOMER_FIELDS, loaded_at, multiline)
 
 
-def read_products(spark: SparkSession, folder: str, export_name: str, loaded_at: datetime) -> DataFrame:
-    return read_csv_export(spark, folder, export_name, PRODUCT_FIELDS, loaded_at)
+def read_products(
+    spark: SparkSession, folder: str, export_name: str, loaded_at: datetime, multiline: bool = True
+) -> DataFrame:
+    return read_csv_export(spark, folder, export_name, PRODUCT_FIELDS, loaded_at, multiline)
 
 
 def read_orders(

@@ -66,6 +66,43 @@ def test_quoted_line_breaks_on_request(spark, shop):
     assert [(r.customer_id, r.city) for r in rows] == [("C1", "So\nlo")]
 
 
+def part_files(shop, *texts):
+    folder = shop / "customers" / "customers_20260908.csv"
+    folder.mkdir()
+    for i, text in enumerate(texts):
+        (folder / f"part-{i}.csv").write_text(text)
+
+
+def read_parts(spark, shop, **options):
+    fields = ("customer_id", "full_name", "city")
+    folder = str(shop / "customers")
+    return exports.read_csv_export(spark, folder, "customers_20260908.csv", fields, LOADED_AT, **options).collect()
+
+
+HEADER = "customer_id,full_name,city\n"
+
+
+@pytest.mark.parametrize("bad", ["C1,Budi\n", "C1,Budi,Solo,more\n"])
+@pytest.mark.parametrize("multiline", [True, False])
+def test_short_and_long_rows_stop_the_read(spark, shop, bad, multiline):
+    part_files(shop, HEADER + "C2,Siti,Solo\n" + bad)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_parts(spark, shop, multiline=multiline)
+
+
+def test_parts_with_another_header_stop_the_read(spark, shop):
+    part_files(shop, HEADER + "C1,Budi,Solo\n", "city,customer_id,full_name\nSolo,C2,Siti\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_parts(spark, shop)
+
+
+def test_quoted_line_breaks_need_whole_files(spark, shop):
+    part_files(shop, HEADER + 'C1,"Bu\ndi",Solo\n')
+    assert [tuple(r)[:3] for r in read_parts(spark, shop)] == [("C1", "Bu\ndi", "Solo")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_parts(spark, shop, multiline=False)
+
+
 def test_documents_keep_items_as_text(spark, shop):
     (shop / "orders" / "more.json").write_text('{"order_id":"O2"}\n')
     rows = {r.order_id: r for r in exports.read_orders(spark, str(shop / "orders"), LOADED_AT).collect()}

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from lumbung.operators.unnest import explode_items
 from lumbung.plans.customers import int_customer_metrics
 from lumbung.plans.line_items import int_order_items, line_item_layer
 from lumbung.plans.products import product_sales_metrics
@@ -233,3 +234,17 @@ def test_counts_against_brute_force(layer, orders):
 def test_public_columns(layer):
     assert "line_no" not in int_order_items(layer(("O1", {}))).columns
     assert len(int_order_items(layer(("O1", {}))).columns) == 17
+
+
+@pytest.mark.parametrize(
+    ("item", "message"),
+    [
+        ('{"product_id": "P1", "qty": 1, "unit_price": 1.00005}', "more than four decimals"),
+        ('{"product_id": "P1", "qty": 1, "unit_price": 1, "discount": 0.00001}', "more than four decimals"),
+        ('{"product_id": "P1", "qty": 1.00001, "unit_price": 1}', "not a whole number"),
+    ],
+)
+def test_numbers_that_do_not_fit_are_never_rounded(spark, item, message):
+    orders = spark.createDataFrame([("O1", f"[{item}]")], "order_id string, items_jsonb string")
+    with pytest.raises(Exception, match=message):
+        explode_items(orders).collect()

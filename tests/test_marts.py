@@ -151,7 +151,7 @@ def test_inventory_category_filter(marts):
 
 
 def test_export_has_all_sections(spark, marts, tmp_path):
-    schemas = reports.export_json(marts, str(tmp_path), datetime(2026, 9, 10), AS_OF)
+    schemas = reports.export_json(marts, quality.mart_report(marts, AS_OF), str(tmp_path), datetime(2026, 9, 10))
     read = {name: spark.read.schema(s).json(f"{tmp_path}/{name}") for name, s in schemas.items()}
     assert set(read) == {
         "generated", "summary", "run_metadata", "daily_sales", "products", "customer_tiers", "kimball_audit",

@@ -150,13 +150,14 @@ def test_exact_order_counts_need_no_distinct(layer):
     assert counts.first().total_orders == HOT
 
 
-@pytest.mark.parametrize(("size", "partitions"), [(10**6, None), (10**12, "3726"), (10**14, "50000")])
+@pytest.mark.parametrize(("size", "partitions"), [(10**6, None), (10**12, "3726"), (10**14, "372530"), (10**15, "3725291")])
 def test_shuffle_partitions_follow_the_input(spark, size, partitions):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     spark.conf.unset(key)
     size_shuffles(spark, size)
     assert spark.conf.get(key, None) == partitions
-    spark.conf.unset(key)
+    size_shuffles(spark, 10**6)
+    assert spark.conf.get(key, None) is None
 
 
 def test_one_large_document(orders, catalogue, people):

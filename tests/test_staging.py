@@ -125,3 +125,10 @@ def test_order_hygiene(raw_orders):
 def test_malformed_order_date_fails(raw_orders):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         stg_orders(raw_orders(("O1", {"order_date": "yesterday"}))).collect()
+
+
+@pytest.mark.parametrize("field", ["price", "cost"])
+def test_amounts_are_never_rounded(raw_products, field):
+    assert stg_products(raw_products(("P1", {field: "1.0005"}))).count() == 1
+    with pytest.raises(Exception, match="more than four decimals"):
+        stg_products(raw_products(("P1", {field: "1.00005"}))).collect()
