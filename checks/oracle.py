@@ -8,7 +8,7 @@ path, the marker counts and the decimal ratios of the Spark side.
 
 from __future__ import annotations
 
-from checks.queries import CATEGORY, CHANNEL, SEARCH_TERM
+from checks.queries import CATEGORY, CHANNEL, NAME_TERM, SEARCH_TERM, SKU_TERM
 from checks.raw_sql import RAW_CUSTOMERS, RAW_LINES, RAW_ORDER_HEADS, RAW_PRODUCTS
 
 AS_OF = "date '2026-12-31'"
@@ -461,6 +461,13 @@ expect(
         order by total_units_sold desc nulls last, product_id""",
     "d_prod",
 )
+for key, term in (("inventory_search_by_name", NAME_TERM), ("inventory_search_by_sku", SKU_TERM)):
+    expect(
+        key,
+        f"""{RANKED} where product_name ilike '%{term}%' or category ilike '%{term}%' or sku ilike '%{term}%'
+            order by total_revenue_generated_idr desc nulls last, product_id""",
+        "d_prod",
+    )
 expect(
     "tier_summary",
     """select customer_tier, is_registered_in_crm, count(*) as customer_count,
@@ -483,7 +490,7 @@ expect(
     "items",
 )
 expect(
-    "run_summary",
+    "pipeline_summary",
     """select (select count(*) from d_cust) as total_customers, (select count(*) from d_prod) as total_products,
               (select count(*) from items) as total_order_items,
               cast(round(sum(gross_revenue_idr)) as bigint) as total_gross_revenue,
@@ -538,13 +545,14 @@ expect(
     f"""select {ORDERS2}, {pct_or_zero('total_completed_orders', 'total_orders', 1)} as fulfillment_rate from totals""",
     "totals",
 )
-expect(
-    "daily_trend",
-    f"""select order_date, cast(sum(gross_revenue_idr) as double) as gross_revenue,
-               cast(sum(net_profit_idr) as double) as net_profit, cast(sum(total_orders) as bigint) as orders
-        from daily where channel = '{CHANNEL}' group by 1""",
-    "daily",
-)
+for key, where in (("daily_trend", ""), ("daily_trend_of_channel", f"where channel = '{CHANNEL}'")):
+    expect(
+        key,
+        f"""select order_date, cast(sum(gross_revenue_idr) as double) as gross_revenue,
+                   cast(sum(net_profit_idr) as double) as net_profit, cast(sum(total_orders) as bigint) as orders
+            from daily {where} group by 1""",
+        "daily",
+    )
 SHARE = f"""cast(r as double) as revenue, cast(o as bigint) as orders, {pct_or_zero('r', 't', 1)} as percentage"""
 
 
@@ -677,6 +685,36 @@ expect(
     ),
     "raw_products", "d_prod",
 )
+expect(
+    "dq_negative_revenue_rows",
+    """select 'raw.items' as target, concat('ORD', lpad(cast(l_orderkey as varchar), 7, '0')) as order_id, product_id,
+              cast(qty as int) as qty, cast((unit_price - discount) * qty as double) as gross_revenue_idr
+       from raw_lines where (unit_price - discount) * qty < 0 or qty < 0
+       union all select 'fact_order_items', order_id, product_id, cast(qty as int), cast(gross_revenue_idr as double)
+       from fact where gross_revenue_idr < 0 or cogs_idr < 0""",
+    "raw_lines", "fact",
+)
+expect(
+    "dq_order_dates_rows",
+    f"""select 'orders' as target, cast(o_orderkey as varchar) as order_id, cast(o_orderdate as date) as order_date
+        from orders where cast(o_orderdate as date) not between date '2020-01-01' and {AS_OF} + 1
+        union all select 'fact_order_items', order_id, order_date from fact
+        where order_date not between date '2020-01-01' and {AS_OF} + 1""",
+    "fact",
+)
+expect(
+    "dq_stock_rows",
+    """select 'raw.products' as target, product_id, cast(stock_qty as int) as stock_qty from raw_products
+       where cast(stock_qty as int) < 0
+       union all select 'dim_products', product_id, cast(stock_qty as int) from d_prod where stock_qty < 0""",
+    "raw_products", "d_prod",
+)
+expect(
+    "dq_orphan_rows",
+    """select customer_id, count(*) as n_rows from raw_heads
+       where customer_id not in (select customer_id from raw_customers) group by 1""",
+    "raw_heads", "raw_customers",
+)
 expect(
     "dq_raw_counts",
     "\nunion all ".join(

@@ -28,6 +28,9 @@ QUERIES: dict[str, Query] = {}
 CATEGORY = "ECONOMY"
 CHANNEL = "website"
 SEARCH_TERM = "EcO"
+# In names only, and in SKUs only.
+NAME_TERM = "WIDget"
+SKU_TERM = "-77"
 
 
 def query(build: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
@@ -130,7 +133,7 @@ def landing_file_validity(x: Layers) -> DataFrame:
 
 @query
 def mart_roundtrip(x: Layers) -> DataFrame:
-    return tables.refresh(x.compute_daily(), f"{fresh_folder(x.spark, 'mart')}/fct_daily_sales", order_by="order_date")
+    return tables.refresh(x.compute_daily(), f"{fresh_folder(x.spark, 'mart')}/fct_daily_sales", "order_date")
 
 
 @query
@@ -404,6 +407,16 @@ def inventory_search(x: Layers) -> DataFrame:
     return reports.inventory_search(x.dim_products, SEARCH_TERM, CATEGORY, "units")
 
 
+@query
+def inventory_search_by_name(x: Layers) -> DataFrame:
+    return reports.inventory_search(x.dim_products, NAME_TERM)
+
+
+@query
+def inventory_search_by_sku(x: Layers) -> DataFrame:
+    return reports.inventory_search(x.dim_products, SKU_TERM)
+
+
 @query
 def tier_summary(x: Layers) -> DataFrame:
     return reports.tier_summary(x.dim_customers)
@@ -420,7 +433,7 @@ def guest_audit(x: Layers) -> DataFrame:
 
 
 @query
-def run_summary(x: Layers) -> DataFrame:
+def pipeline_summary(x: Layers) -> DataFrame:
     return reports.run_summary(x.dim_customers, x.dim_products, x.fact, x.daily)
 
 
@@ -461,6 +474,11 @@ def fulfillment_rate(x: Layers) -> DataFrame:
 
 @query
 def daily_trend(x: Layers) -> DataFrame:
+    return reports.daily_trend(x.daily)
+
+
+@query
+def daily_trend_of_channel(x: Layers) -> DataFrame:
     return reports.daily_trend(x.daily, channel=CHANNEL)
 
 
@@ -550,6 +568,55 @@ def dq_stock(x: Layers) -> DataFrame:
     )
 
 
+def raw_item_amounts(x: Layers) -> DataFrame:
+    """Items before the clamps of the line metrics."""
+    return explode_items(x.stg_orders.select("order_id", "items_jsonb")).select(
+        "order_id", "product_id", "qty",
+        ((F.col("unit_price") - F.col("discount")) * F.col("qty")).alias("gross_revenue_idr"),
+        F.col("qty").alias("cogs_idr"),
+    )
+
+
+@query
+def dq_negative_revenue_rows(x: Layers) -> DataFrame:
+    tests = [quality.negative_revenue_test("raw.items"), quality.negative_revenue_test()]
+    sides = {"raw.items": raw_item_amounts(x), "fact_order_items": x.fact}
+    return quality.stack(
+        [
+            quality.violating_rows(sides, t).select(F.lit(t.table).alias("target"), "order_id", "product_id", "qty", "gross_revenue_idr")
+            for t in tests
+        ]
+    )
+
+
+@query
+def dq_order_dates_rows(x: Layers) -> DataFrame:
+    given = x.spark.read.parquet(f"{x.folder}/orders.parquet").select(
+        F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderdate").cast("date").alias("order_date")
+    )
+    tests = [quality.order_date_test(AS_OF, "orders"), quality.order_date_test(AS_OF)]
+    sides = {"orders": given, "fact_order_items": x.fact}
+    return quality.stack(
+        [quality.violating_rows(sides, t).select(F.lit(t.table).alias("target"), "order_id", "order_date") for t in tests]
+    )
+
+
+@query
+def dq_stock_rows(x: Layers) -> DataFrame:
+    raw = x.raw_products.select("product_id", F.col("stock_qty").cast("int").alias("stock_qty"))
+    tests = [quality.stock_test("raw.products"), quality.stock_test()]
+    sides = {"raw.products": raw, "dim_products": x.dim_products}
+    return quality.stack(
+        [quality.violating_rows(sides, t).select(F.lit(t.table).alias("target"), "product_id", "stock_qty") for t in tests]
+    )
+
+
+@query
+def dq_orphan_rows(x: Layers) -> DataFrame:
+    test = quality.ParentTest("raw.orders", "customer_id", "raw.customers", "customer_id")
+    return quality.violating_rows({"raw.orders": x.raw_orders, "raw.customers": x.raw_customers}, test)
+
+
 @query
 def dq_raw_counts(x: Layers) -> DataFrame:
     raw = {"customers": x.raw_customers, "products": x.raw_products, "orders": x.raw_orders}

@@ -11,12 +11,13 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from lumbung.constants import CUSTOMER_EXPORT, ORDER_COLLECTION, PRODUCT_EXPORT
-from lumbung.plans import customers, line_items, products, quality, sales, staging
+from lumbung.plans import customers, line_items, products, quality, reports, sales, staging
 from lumbung.session import prepare, size_shuffles
 from lumbung.sources import exports, landing
-from lumbung.sources.tables import publish, refresh, run_folder, settle, together
+from lumbung.sources.tables import publish, refresh, remove, run_folder, settle, together
 
 PUBLISHED = "published"
+STEPS = "steps"
 SKIPPED = "skipped"
 
 
@@ -29,20 +30,21 @@ class Outcome:
 def build_marts(raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Raw tables to four mart tables below ``folder``.
 
-    Clean customers, clean products and line items are written once each,
-    because several marts read them; every mart then reads only the columns it
-    needs. Each mart is handed back as read from its table.
+    Clean customers, clean products and line items are written once each, below
+    ``folder``/steps, because several marts read them; every mart then reads only
+    the columns it needs. Each mart is handed back as read from its table.
     """
     spark = raw["orders"].sparkSession
+    steps = f"{folder}/{STEPS}"
     clean = together(
         spark,
         {
-            "customers": lambda: settle(staging.stg_customers(raw["customers"]), "stg_customers"),
-            "products": lambda: settle(staging.stg_products(raw["products"]), "stg_products"),
+            "customers": lambda: settle(staging.stg_customers(raw["customers"]), "stg_customers", steps),
+            "products": lambda: settle(staging.stg_products(raw["products"]), "stg_products", steps),
         },
     )
     clean_orders = staging.stg_orders(raw["orders"])
-    layer = settle(line_items.line_item_layer(clean_orders, clean["products"], clean["customers"]), "line_items")
+    layer = settle(line_items.line_item_layer(clean_orders, clean["products"], clean["customers"]), "line_items", steps)
     metrics = customers.int_customer_metrics(layer)
     sold = products.product_sales_metrics(layer)
     return together(
@@ -52,18 +54,22 @@ def build_marts(raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFram
                 customers.dim_customers(clean["customers"], metrics), f"{folder}/dim_customers"
             ),
             "dim_products": lambda: refresh(products.dim_products(clean["products"], sold), f"{folder}/dim_products"),
-            "fact_order_items": lambda: refresh(sales.fact_order_items(layer), f"{folder}/fact_order_items"),
+            # Sorted by date over files, a hot day by order: reads of some days skip the other files.
+            "fact_order_items": lambda: refresh(
+                sales.fact_order_items(layer), f"{folder}/fact_order_items", "order_date", "order_id"
+            ),
             "fct_daily_sales": lambda: refresh(
-                sales.fct_daily_sales(layer), f"{folder}/fct_daily_sales", order_by="order_date"
+                sales.fct_daily_sales(layer), f"{folder}/fct_daily_sales", "order_date"
             ),
         },
     )
 
 
-def load_raw(spark: SparkSession, landing_root: str, warehouse: str, loaded_at: datetime) -> dict[str, DataFrame] | None:
-    """Newest exports and all order documents into the raw tables, replacing what was there.
+def load_raw(spark: SparkSession, landing_root: str, folder: str, loaded_at: datetime) -> dict[str, DataFrame] | None:
+    """Newest exports and all order documents into raw tables below ``folder``.
 
-    None when an export is missing or empty: there is nothing to run on.
+    Every run has a folder of its own, so a load that fails half-way leaves
+    those of earlier runs as they are. None when an export is missing or empty: there is nothing to run on.
     """
     listings = [landing.list_exports(spark, f"{landing_root}/{d}", d) for d in (CUSTOMER_EXPORT, PRODUCT_EXPORT)]
     newest = {r["dataset"]: r for r in landing.newest_exports(listings[0].unionByName(listings[1])).collect()}
@@ -77,21 +83,34 @@ def load_raw(spark: SparkSession, landing_root: str, warehouse: str, loaded_at:
         "orders": exports.read_orders(spark, f"{landing_root}/{ORDER_COLLECTION}", loaded_at),
     }
     return together(
-        spark, {name: partial(refresh, frame, f"{warehouse}/raw/{name}") for name, frame in read.items()}
+        spark, {name: partial(refresh, frame, f"{folder}/raw/{name}") for name, frame in read.items()}
     )
 
 
 def run(spark: SparkSession, landing_root: str, warehouse: str, as_of: date, loaded_at: datetime) -> Outcome:
-    """One full refresh. Marts become visible only after all data tests have passed."""
+    """One full refresh. Marts become visible only after all data tests have passed.
+
+    Below the run's folder lie its raw tables, the validator's warnings about
+    documents (``document_warnings``), the marts, the test outcomes (``dq_report``)
+    and a summary (``run_summary``). If tests fail, ``violations`` has the rows.
+    Intermediate tables go after publication.
+    """
     prepare(spark)
-    raw = load_raw(spark, landing_root, warehouse, loaded_at)
+    run_id = f"{loaded_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    folder = run_folder(warehouse, run_id)
+    raw = load_raw(spark, landing_root, folder, loaded_at)
     if raw is None:
         return Outcome(SKIPPED)
     quality.require_passed(quality.raw_counts(raw))
-    run_id = f"{loaded_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    folder = run_folder(warehouse, run_id)
+    refresh(quality.document_violations(raw["orders"]), f"{folder}/document_warnings")
     marts = build_marts(raw, folder)
     report = refresh(quality.mart_report(marts, as_of), f"{folder}/dq_report")
+    quality.write_violations(marts, report, as_of, f"{folder}/violations")
     quality.require_passed(report)
+    summary = reports.run_summary(
+        marts["dim_customers"], marts["dim_products"], marts["fact_order_items"], marts["fct_daily_sales"]
+    )
+    refresh(summary, f"{folder}/run_summary")
     publish(spark, warehouse, run_id, loaded_at.isoformat())
+    remove(spark, f"{folder}/{STEPS}")
     return Outcome(PUBLISHED, run_id)

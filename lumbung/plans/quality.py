@@ -102,7 +102,10 @@ def row_failures(tables: Mapping[str, DataFrame], tests: Iterable[RowTest]) -> D
 def unique_failures(tables: Mapping[str, DataFrame], tests: Iterable[UniqueTest]) -> DataFrame:
     results = []
     for t in tests:
-        repeated = tables[t.table].filter(F.col(t.column).isNotNull()).groupBy(t.column).count().filter("count > 1")
+        # Eight bytes of each key are counted first; only keys whose hash repeats are compared as they are.
+        keys = tables[t.table].filter(F.col(t.column).isNotNull()).select(t.column, F.xxhash64(t.column).alias("hash"))
+        again = keys.groupBy("hash").count().filter("count > 1").select("hash")
+        repeated = keys.join(again, "hash", "left_semi").groupBy(t.column).count().filter("count > 1")
         results.append(single("unique", f"{t.table}.{t.column}", repeated.agg(F.count("*").alias("n"))))
     return stack(results)
 
@@ -130,6 +133,45 @@ def mart_report(marts: Mapping[str, DataFrame], as_of: date) -> DataFrame:
     return outcomes.withColumn("passed", F.col("failures") == 0)
 
 
+# What identifies a violating row, besides the tested columns.
+ROW_COLUMNS = {
+    "no_negative_revenue": ("order_item_id", "order_id", "product_id", "qty", "gross_revenue_idr", "cogs_idr"),
+    "valid_order_dates": ("order_item_id", "order_id", "order_date"),
+    "no_negative_stock": ("product_id", "sku", "product_name", "stock_qty"),
+}
+
+
+def violating_rows(tables: Mapping[str, DataFrame], test: RowTest | UniqueTest | ParentTest) -> DataFrame:
+    """The rows that a failed test has counted (for repeated and orphaned keys: the key and its number of rows)."""
+    table = tables[test.table]
+    if isinstance(test, RowTest):
+        named = [c for c in ROW_COLUMNS.get(test.check, table.columns) if c in table.columns]
+        return table.filter(test.violation).select(*named)
+    rows = table.filter(F.col(test.column).isNotNull()).groupBy(test.column).agg(F.count("*").alias("n_rows"))
+    if isinstance(test, UniqueTest):
+        return rows.filter("n_rows > 1")
+    parents = tables[test.parent].select(F.col(test.parent_column).alias(test.column))
+    return rows.join(parents, test.column, "left_anti")
+
+
+def mart_tests(as_of: date) -> dict[tuple[str, str], RowTest | UniqueTest | ParentTest]:
+    """All 19 tests by the check and the target of their outcome."""
+    row_tests = [*not_null_tests(), negative_revenue_test(), order_date_test(as_of), stock_test()]
+    return (
+        {(t.check, f"{t.table}.{t.column}"): t for t in row_tests}
+        | {("unique", f"{t.table}.{t.column}"): t for t in UNIQUE}
+        | {("relationships", f"{t.table}.{t.column}"): t for t in PARENTS}
+    )
+
+
+def write_violations(marts: Mapping[str, DataFrame], report: DataFrame, as_of: date, folder: str) -> None:
+    """The violating rows of every failed test as JSON lines below ``folder``, one folder per test."""
+    tests = mart_tests(as_of)
+    for failed in report.filter(~F.col("passed")).collect():  # one row per test
+        rows = violating_rows(marts, tests[failed["check"], failed["target"]])
+        rows.write.mode("overwrite").json(f"{folder}/{failed['check']}-{failed['target']}")
+
+
 def require_passed(report: DataFrame) -> None:
     """Stop when a test failed. The report has one row per test, so reading it here is safe."""
     failed = report.filter(~F.col("passed")).collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,8 +62,16 @@ def read_products(
 def read_orders(
     spark: SparkSession, path: str, loaded_at: datetime, source_system: str = "documents"
 ) -> DataFrame:
-    """Order documents from files, one JSON object per line; the nested items stay JSON text."""
-    documents = spark.read.schema(ORDER_DOCUMENT).option("mode", "FAILFAST").json(path)
+    """Order documents from files, one JSON object per line; the nested items stay JSON text.
+
+    Without the folder there are no documents, which the gate on raw tables reports.
+    """
+    try:
+        documents = spark.read.schema(ORDER_DOCUMENT).option("mode", "FAILFAST").json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        documents = spark.createDataFrame([], ORDER_DOCUMENT)
     return raw_orders_from(documents, loaded_at, source_system)
 
 

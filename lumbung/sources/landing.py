@@ -39,8 +39,13 @@ def list_exports(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
-    """Size of the files at or below the paths, from the file listing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    """Size of the files at or below the paths, from the file listing; 0 if one of them is not there."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 

@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from lumbung.session import fresh_folder
 
 
-def refresh(frame: DataFrame, path: str, order_by: str | None = None) -> DataFrame:
+def refresh(frame: DataFrame, path: str, *order_by: str) -> DataFrame:
     """Replace the table at ``path`` and read it back.
 
     ``order_by`` sorts the rows by range over files, so that later filters on
-    that column skip files and row groups by their statistics. Compared with
-    one folder per value this leaves no tiny files and no oversized ones.
+    the first column skip files and row groups by their statistics; further
+    columns split values that many rows share. Compared with one folder per
+    value this leaves no tiny files and no oversized ones.
     """
     if order_by:
-        frame = frame.repartitionByRange(order_by).sortWithinPartitions(order_by)
+        frame = frame.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
@@ -33,12 +34,18 @@ def together(spark: SparkSession, jobs: Mapping[str, Callable[[], DataFrame]]) -
         return {name: job.result() for name, job in running.items()}
 
 
-def settle(frame: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate result to the shared folder once and continue from there.
+def settle(frame: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write an intermediate result once and continue from there: below ``folder``, or in the shared folder.
 
     Several consumers then share the work, and a lost executor costs a re-read, not a recomputation.
     """
-    return refresh(frame, fresh_folder(frame.sparkSession, label))
+    return refresh(frame, f"{folder}/{label}" if folder else fresh_folder(frame.sparkSession, label))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def publish(spark: SparkSession, warehouse: str, run_id: str, finished_at: str) -> None:

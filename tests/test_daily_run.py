@@ -142,6 +142,35 @@ def test_failing_tests_keep_the_published_marts(spark, shop, tmp_path):
     with pytest.raises(quality.QualityGateError, match="valid_order_dates"):
         run(spark, shop, tmp_path)
     assert current_run(spark, str(tmp_path / "warehouse")) == first.run_id
+    found = [p for p in (tmp_path / "warehouse" / "runs").glob("*/violations/*")]
+    assert [p.name for p in found] == ["valid_order_dates-fact_order_items.order_date"]
+    rows = spark.read.json(str(found[0])).collect()
+    assert [(r.order_id, r.order_date) for r in rows] == [("O8", "2031-01-01")]
+
+
+def test_a_run_keeps_its_raw_tables_warnings_and_summary(spark, shop, tmp_path):
+    outcome = run(spark, shop, tmp_path)
+    folder = tmp_path / "warehouse" / "runs" / outcome.run_id
+    assert {p.name for p in folder.iterdir()} == {
+        "raw", "document_warnings", "dim_customers", "dim_products", "fact_order_items", "fct_daily_sales", "dq_report", "run_summary",
+    }  # no steps, no violations
+    assert spark.read.parquet(str(folder / "run_summary")).first().total_order_items == 1
+    assert spark.read.parquet(str(folder / "document_warnings")).count() == 12
+
+
+def test_a_load_that_fails_leaves_earlier_raw_tables(spark, shop, tmp_path):
+    first = run(spark, shop, tmp_path)
+    (shop / "orders" / "bad.json").write_text("{broken\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        run(spark, shop, tmp_path)
+    raw = f"{tmp_path}/warehouse/runs/{first.run_id}/raw"
+    assert [spark.read.parquet(f"{raw}/{t}").count() for t in ("customers", "products", "orders")] == [2, 1, 1]
+
+
+def test_a_missing_orders_folder_is_reported_by_the_gate(spark, shop, tmp_path):
+    (shop / "orders").rename(tmp_path / "elsewhere")
+    with pytest.raises(quality.QualityGateError, match="raw.orders"):
+        run(spark, shop, tmp_path)
 
 
 def test_empty_export_skips_the_run(spark, shop, tmp_path):
@@ -168,7 +197,7 @@ def test_nothing_published(spark, tmp_path):
 def test_refresh_replaces_and_clusters(spark, tmp_path):
     path = str(tmp_path / "t")
     refresh(spark.range(100), path)
-    again = refresh(spark.range(10), path, order_by="id")
+    again = refresh(spark.range(10), path, "id")
     assert sorted(r.id for r in again.collect()) == list(range(10))
 
 
