@@ -175,7 +175,7 @@ def dedup_latest_products(x: Layers) -> DataFrame:
 
 @query
 def dedup_latest_orders(x: Layers) -> DataFrame:
-    return staging.newest(x.raw_orders, "order_id").select("order_id", "customer_id", "status", "order_date", "_loaded_at")
+    return staging.newest_orders(x.raw_orders).filter("part = 0").select("order_id", "customer_id", "status", "order_date", "_loaded_at")
 
 
 @query
@@ -243,12 +243,12 @@ def stg_products(x: Layers) -> DataFrame:
 def stg_orders(x: Layers) -> DataFrame:
     return x.stg_orders.withColumn("items_jsonb", F.json_array_length("items_jsonb")).withColumnRenamed(
         "items_jsonb", "n_items"
-    )
+    ).drop(*C.PART_FIELDS)
 
 
 @query
 def unnest_order_items(x: Layers) -> DataFrame:
-    lines = explode_items(x.stg_orders.select("order_id", "order_status", "items_jsonb"))
+    lines = explode_items(x.stg_orders.select("order_id", "order_status", "items_jsonb", *C.PART_FIELDS))
     # Nullable quantities leave as doubles, like amounts.
     return lines.select(
         "order_id", "order_status", "product_id", F.col("qty").cast("double").alias("qty"),
@@ -258,7 +258,7 @@ def unnest_order_items(x: Layers) -> DataFrame:
 
 @query
 def line_index(x: Layers) -> DataFrame:
-    lines = explode_items(x.stg_orders.select("order_id", "items_jsonb"))
+    lines = explode_items(x.stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS))
     return lines.select(
         "order_id", F.col("line_no").alias("item_index"), "product_id", F.col("qty").cast("double").alias("qty")
     )
@@ -272,7 +272,7 @@ def int_order_items(x: Layers) -> DataFrame:
 @query
 def line_metrics(x: Layers) -> DataFrame:
     lines = line_items.price_lines(
-        explode_items(x.stg_orders.select("order_id", "items_jsonb")), x.stg_products
+        explode_items(x.stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS)), x.stg_products
     )
     return lines.select(
         "order_id", "line_no", "product_id", "qty", "unit_price_idr", "discount_idr",
@@ -509,7 +509,7 @@ def dq_not_null(x: Layers) -> DataFrame:
     lines = [
         quality.RowTest("raw.items", "not_null", c, F.col(c).isNull()) for c in ("qty", "unit_price", "discount")
     ]
-    items = explode_items(x.stg_orders.select("order_id", "items_jsonb"))
+    items = explode_items(x.stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS))
     on_raw = quality.row_failures({"raw.orders": x.raw_orders, "raw.items": items}, raw + lines)
     return on_raw.unionByName(quality.row_failures(x.marts, quality.not_null_tests()))
 
@@ -537,7 +537,7 @@ def dq_relationships(x: Layers) -> DataFrame:
 @query
 def dq_negative_revenue(x: Layers) -> DataFrame:
     """Before the clamps of the line metrics (dirty) and in the fact (clean)."""
-    items = explode_items(x.stg_orders.select("order_id", "items_jsonb")).select(
+    items = explode_items(x.stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS)).select(
         ((F.col("unit_price") - F.col("discount")) * F.col("qty")).alias("gross_revenue_idr"),
         F.col("qty").alias("cogs_idr"),
     )
@@ -570,7 +570,7 @@ def dq_stock(x: Layers) -> DataFrame:
 
 def raw_item_amounts(x: Layers) -> DataFrame:
     """Items before the clamps of the line metrics."""
-    return explode_items(x.stg_orders.select("order_id", "items_jsonb")).select(
+    return explode_items(x.stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS)).select(
         "order_id", "product_id", "qty",
         ((F.col("unit_price") - F.col("discount")) * F.col("qty")).alias("gross_revenue_idr"),
         F.col("qty").alias("cogs_idr"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.raw_sql import RAW_CUSTOMERS, RAW_LINES, RAW_ORDER_HEADS, RAW_PRODUCTS
@@ -46,37 +46,72 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     return over(spark, RAW_LINES, "lineitem", given(spark, folder, "lineitem"))
 
 
-def raw_orders(spark: SparkSession, folder: str, document_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """Order documents: heads with their lines nested as JSON.
+def parts_of_orders(lines: DataFrame, document_items: int) -> DataFrame:
+    """Each order's lines as JSON documents of at most so many lines, cut along the order of the lines.
 
-    A document has a size limit, so an order with more lines than fit is
-    delivered as several documents with ids of their own (``<id>-2``, ``<id>-3``
-    ...). That keeps all lines, and no task ever gathers more than one
-    document's worth of them. The given tables have no such order.
+    Lines are sorted over the cluster, so a very large order is spread over ranges and no task gathers more of it
+    than its range. Parts are numbered from a table with one small row per document.
     """
-    # The salt is drawn on the file scan, where a repeated task draws the same one, and splits exact copies too.
-    lines = raw_lines(spark, folder).withColumn("salt", F.monotonically_increasing_id())
-    large = (
-        lines.groupBy("l_orderkey")
-        .count()
-        .filter(F.col("count") > document_items)
-        .select("l_orderkey", F.ceil(F.col("count") / document_items).cast("int").alias("parts"))
+    item = ("product_id", "qty", "unit_price", "discount")
+    ranges = lines.repartitionByRange("l_orderkey", F.col("product_id").asc_nulls_last(), *item[1:])
+    sortable = F.struct(F.col("product_id").isNull().alias("none"), *item)
+    gathered = (
+        ranges.withColumn("range", F.spark_partition_id())
+        .groupBy("l_orderkey", "range")
+        .agg(F.sort_array(F.collect_list(sortable)).alias("lines"))
+    )
+    starts = F.sequence(F.lit(0), F.size("lines") - 1, F.lit(document_items))
+    pieces = gathered.select(
+        "l_orderkey",
+        "range",
+        F.posexplode(F.transform(starts, lambda at: F.slice("lines", at + 1, document_items))).alias("piece", "cut"),
     )
-    parted = lines.join(large, "l_orderkey", "left").select(
-        *lines.columns,
-        F.when(F.col("parts").isNull(), 0).otherwise(F.pmod("salt", "parts").cast("int")).alias("part"),
+    plain = F.transform("cut", lambda one: F.struct(*[one[c].alias(c) for c in item]))
+    written = settle(
+        pieces.select(
+            "l_orderkey",
+            "range",
+            "piece",
+            F.size("cut").alias("n"),
+            F.element_at("cut", -1)["product_id"].alias("last_product"),
+            F.to_json(plain).alias("items"),
+        ),
+        "parts",
     )
-    item = F.struct("product_id", "qty", "unit_price", "discount")
-    # Gathering does not shrink anything, so lines are shuffled as they are and gathered afterwards.
-    gathered = parted.repartition("l_orderkey", "part").groupBy("l_orderkey", "part")
-    documents = gathered.agg(F.to_json(F.collect_list(item)).alias("items"))
+    in_order = Window.partitionBy("l_orderkey").orderBy("range", "piece")
+    numbered = written.select(
+        "l_orderkey",
+        "range",
+        "piece",
+        (F.row_number().over(in_order) - 1).alias("part"),
+        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).cast("long").alias("lines_before"),
+        F.lag("last_product").over(in_order).alias("product_before"),
+    ).filter("part > 0")
+    keys = ["l_orderkey", "range", "piece"]
+    return written.join(numbered, keys, "left").select(
+        "l_orderkey",
+        "items",
+        F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("lines_before", F.lit(0).cast("long")).alias("lines_before"),
+        "product_before",
+    )
+
+
+def raw_orders(spark: SparkSession, folder: str, document_items: int = DOCUMENT_ITEMS) -> DataFrame:
+    """Order documents: heads with their lines nested as JSON.
+
+    A document has a size limit, so an order with more lines than fit comes in several parts under the same id.
+    """
     heads = raw_order_heads(spark, folder)
+    documents = parts_of_orders(raw_lines(spark, folder), document_items)
     joined = heads.join(documents, heads["o_orderkey"] == documents["l_orderkey"], "left")
-    suffix = F.when(F.col("part") > 0, F.concat(F.lit("-"), (F.col("part") + 1).cast("string"))).otherwise("")
     return joined.select(
-        F.concat("order_id", suffix).alias("order_id"),
+        "order_id",
         "customer_id", "order_date", "status", "payment_method", "channel", "total_amount",
         F.coalesce("items", F.lit("[]")).alias("items"),
+        F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("lines_before", F.lit(0).cast("long")).alias("lines_before"),
+        "product_before",
         "_source_system", "_loaded_at",
     )
 
@@ -88,7 +123,8 @@ class Layers:
     folder, as the daily run does; models and reports are computed from them.
     """
 
-    _written: dict[tuple[str, str, str], str] = {}
+    document_items = DOCUMENT_ITEMS
+    _written: dict[tuple[str, str, int, str], str] = {}
     _sizes: dict[tuple[str, str], int] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -105,7 +141,7 @@ class Layers:
         size_shuffles(self.spark, 4 * self._sizes[key])
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        key = (self.spark.sparkContext.applicationId, self.folder, self.document_items, name)
         if key not in self._written:
             table = settle(build(), name)
             self._written[key] = table.inputFiles()[0].rsplit("/", 1)[0]
@@ -121,7 +157,7 @@ class Layers:
 
     @property
     def raw_orders(self) -> DataFrame:
-        return self._table("raw_orders", lambda: raw_orders(self.spark, self.folder))
+        return self._table("raw_orders", lambda: raw_orders(self.spark, self.folder, self.document_items))
 
     def compute_stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.raw_customers)

@@ -14,6 +14,9 @@ PRODUCT_FIELDS = (
 )
 ORDER_FIELDS = ("order_id", "customer_id", "order_date", "status", "payment_method", "channel", "total_amount", "items")
 
+# Columns of documents that hold one part of an order's lines; a document without them holds all.
+PART_FIELDS = {"part": "int", "lines_before": "long", "product_before": "string"}
+
 # E-mail format; \z is the end of the text, also when a newline closes it.
 EMAIL_PATTERN = r"(?i)^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\z"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.constants import PART_FIELDS
 from lumbung.functions.amounts import exact_money
 from lumbung.schemas import ITEMS
 
@@ -48,24 +49,38 @@ def explode_items(orders: DataFrame, items: str = "items_jsonb") -> DataFrame:
     ``line_no`` is 1 on exactly one line of each order, and ``opens_product`` is
     true on exactly one line of each (order, product) pair. Counting those
     lines equals counting distinct orders.
+
+    A document may be one part of an order. Numbers go on where the part before
+    it ends, and its first line opens a product only if that part ended with
+    another, so the lines do not depend on how an order was cut.
     """
-    carried = [c for c in orders.columns if c != items]
-    sorted_items = orders.select(*carried, parse_items(F.col(items)).alias("_items"))
+    carried = [c for c in orders.columns if c not in (items, *PART_FIELDS)]
+    parts = [part_column(orders, name).alias(f"_{name}") for name in PART_FIELDS if name != "part"]
+    sorted_items = orders.select(*carried, *parts, parse_items(F.col(items)).alias("_items"))
+    number = F.coalesce("_lines_before", F.lit(0))
 
     def with_marker(item: Column, position: Column) -> Column:
-        before = F.get(F.col("_items"), position - 1)["product_id"]
+        before = F.when(position == 0, F.col("_product_before")).otherwise(
+            F.get(F.col("_items"), position - 1)["product_id"]
+        )
         return F.struct(
             item["product_id"].alias("product_id"),
             item["qty"].alias("qty"),
             item["unit_price"].alias("unit_price"),
             item["discount"].alias("discount"),
             item["subtotal"].alias("subtotal"),
-            ((position == 0) | ~item["product_id"].eqNullSafe(before)).alias("opens_product"),
+            ((position + number == 0) | ~item["product_id"].eqNullSafe(before)).alias("opens_product"),
         )
 
     # The generator takes an expression, not a column: a column would make Spark derive a
     # "not empty" filter below and parse every document twice.
     lines = sorted_items.select(
-        *carried, F.posexplode(F.transform(F.col("_items"), with_marker)).alias("_position", "_line")
+        *carried, number.alias("_number"), F.posexplode(F.transform(F.col("_items"), with_marker)).alias("_position", "_line")
     )
-    return lines.select(*carried, (F.col("_position") + 1).alias("line_no"), "_line.*")
+    return lines.select(*carried, (F.col("_number") + F.col("_position") + 1).cast("int").alias("line_no"), "_line.*")
+
+
+def part_column(documents: DataFrame, name: str) -> Column:
+    """A column of documents that hold parts of orders; null where documents have no such column."""
+    kind = PART_FIELDS[name]
+    return F.col(name).cast(kind) if name in documents.columns else F.lit(None).cast(kind)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.constants import PART_FIELDS
 from lumbung.functions.amounts import as_money, at_least, not_below_zero
 from lumbung.functions.keys import order_item_key
 from lumbung.operators.unnest import explode_items
@@ -39,7 +40,7 @@ def unnest_orders(orders: DataFrame) -> DataFrame:
     carried = [
         c
         for c in ("order_id", "customer_id", "ordered_at", "order_date", "order_status", "payment_method", "channel",
-                  "is_registered_customer", "items_jsonb")
+                  "is_registered_customer", "items_jsonb", *PART_FIELDS)
         if c in orders.columns
     ]
     return explode_items(orders.select(*carried))

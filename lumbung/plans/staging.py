@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.constants import STATUS_MISSING
+from lumbung.constants import PART_FIELDS, STATUS_MISSING
 from lumbung.functions.amounts import at_least, exact_money
 from lumbung.functions.text import has_email_format, lowered, raised, trimmed
 from lumbung.operators.latest import latest_by
+from lumbung.operators.unnest import part_column
 
 VERSION = "_loaded_at"
 
@@ -64,13 +65,30 @@ def stg_products(raw: DataFrame) -> DataFrame:
     )
 
 
+def newest_orders(raw: DataFrame) -> DataFrame:
+    """All parts of the newest load of each order.
+
+    The newest row per order and part comes first. A first part is always there, so it is of the newest load;
+    further parts are kept if their load is. Those are few, unless an order is very large, and then its rows are
+    spread by part. Documents without parts skip the second step altogether.
+    """
+    rows = raw.withColumn("order_id", trimmed("order_id"))
+    if "part" not in raw.columns:
+        return latest_by(rows, "order_id", VERSION)
+    rows = rows.withColumn("part", F.coalesce("part", F.lit(0)))
+    per_part = latest_by(rows, ("order_id", "part"), VERSION)
+    loads = rows.filter("part = 0").groupBy("order_id").agg(F.max(VERSION).alias("_newest"))
+    further = per_part.filter("part > 0").join(loads, "order_id").filter(F.col(VERSION) == F.col("_newest"))
+    return per_part.filter("part = 0").unionByName(further.drop("_newest"))
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
-    rows = newest(
+    """One row per order, or per part of an order that comes in several documents (columns ``PART_FIELDS``)."""
+    rows = newest_orders(
         raw.select(
             "order_id", "customer_id", "order_date", "status", "payment_method", "channel",
-            "total_amount", "items", VERSION,
-        ),
-        "order_id",
+            "total_amount", "items", VERSION, *[c for c in PART_FIELDS if c in raw.columns],
+        )
     )
     moment = F.col("order_date").cast("timestamp")
     return rows.select(
@@ -85,4 +103,5 @@ def stg_orders(raw: DataFrame) -> DataFrame:
         exact_money(F.col("total_amount")).alias("total_amount_idr"),
         F.col("items").alias("items_jsonb"),
         VERSION,
+        *[part_column(rows, name).alias(name) for name in PART_FIELDS],
     )

@@ -20,6 +20,11 @@ ORDER_DOCUMENT = T.StructType(
         T.StructField("total_amount", AS_WRITTEN),
         # A string field keeps the nested array as its JSON text.
         T.StructField("items", T.StringType()),
+        # An order too large for one document comes in several, cut along the order of its lines: number of the
+        # part, how many lines the earlier parts hold, and the product of the last of those.
+        T.StructField("part", T.IntegerType()),
+        T.StructField("lines_before", T.LongType()),
+        T.StructField("product_before", T.StringType()),
     ]
 )
 

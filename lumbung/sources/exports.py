@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.constants import CUSTOMER_FIELDS, ORDER_FIELDS, PRODUCT_FIELDS
+from lumbung.constants import CUSTOMER_FIELDS, ORDER_FIELDS, PART_FIELDS, PRODUCT_FIELDS
+from lumbung.operators.unnest import part_column
 from lumbung.schemas import ORDER_DOCUMENT
 
 
@@ -85,6 +86,7 @@ def raw_orders_from(documents: DataFrame, loaded_at: datetime, source_system: st
         items = F.to_json(items)
     return documents.withColumn("items", F.coalesce(items, F.lit("[]"))).select(
         *ORDER_FIELDS,
+        *[part_column(documents, name).alias(name) for name in PART_FIELDS],
         F.lit(source_system).alias("_source_system"),
         F.lit(loaded_at).cast("timestamp").alias("_loaded_at"),
     )
