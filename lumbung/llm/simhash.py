@@ -117,12 +117,17 @@ def connected(pairs: DataFrame) -> DataFrame:
         seen = state
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, fingerprint and ``root`` (the smallest fingerprint reachable) of every row."""
-    marked = checkpointed(fingerprints(docs))
+def rooted(marked: DataFrame) -> DataFrame:
+    """One row per fingerprint: its ``root`` (the smallest fingerprint reachable) and its first document.
+
+    First is the smallest id (null last), then the smallest text hash. Copies are reduced to one row per task
+    before they are shuffled, and only fingerprints are grouped by root, so many copies are no large group.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    nodes = marked.groupBy("fingerprint").agg(F.min(order).alias("first"))
     roots = connected(links(marked.select("fingerprint").distinct()))
-    linked = marked.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    return linked.withColumn("root", F.coalesce("root", "fingerprint"))
+    found = nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    return found.withColumn("root", F.coalesce("root", "fingerprint"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -131,17 +136,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Empty texts and texts of white space have fingerprint zero and are linked like any other. Repeated rows
     come out repeated. Rows with a null id get their component's smallest id, null if it has none. No rows, no rows.
     """
-    members = groups(docs)
-    smallest = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return members.join(smallest, "root").select(
+    marked = checkpointed(fingerprints(docs))
+    nodes = rooted(marked)
+    smallest = nodes.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
+    of_each = nodes.join(smallest, "root").select("fingerprint", "component_id")
+    # The only join with all documents; Spark splits the side of a fingerprint that many of them share.
+    return marked.join(of_each, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Whole rows, one of each group: the one with the smallest id (null last), then the smallest text hash."""
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    first = groups(docs).groupBy("root").agg(F.min(order).alias("first"))
+    first = rooted(checkpointed(fingerprints(docs))).groupBy("root").agg(F.min("first").alias("first"))
     first = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
     rows = whole_rows(docs).select("row", "doc_id", F.xxhash64("text").alias("text_hash"))
     chosen = rows.join(
