@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.llm.tables import ids_and_texts, named, whole_rows
+from lumbung.llm.tables import checkpointed, ids_and_texts, named, whole_rows
 
 TRAIN_ROWS = 8_000
 MOST_FEATURES = 1_000
@@ -93,37 +93,29 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, total))))
 
 
-def surprise(rows: np.ndarray, hits: np.ndarray, total: int, positive: int) -> np.ndarray:
-    """Log-likelihood ratio of a feature's share of positive rows against that of all rows."""
+def surprise(total: int, positive: int) -> Column:
+    """Log-likelihood ratio of a part's share of positive rows against that of all, from ``rows`` and ``hits``."""
+    rows, hits, rate = F.col("rows"), F.col("hits"), positive / total
 
-    def against(found, expected):
-        return np.where(found > 0, found * np.log(np.maximum(found, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
+    def against(found: Column, expected: Column) -> Column:
+        return F.when(found > 0, found * F.log(found / expected)).otherwise(0.0)
 
-    rate, other = positive / total, total - rows
+    others = F.lit(total) - rows
     inside = against(hits, rows * rate) + against(rows - hits, rows * (1 - rate))
-    outside = against(positive - hits, other * rate) + against(other - positive + hits, other * (1 - rate))
+    outside = against(positive - hits, others * rate) + against(others - positive + hits, others * (1 - rate))
     return 2 * (inside + outside)
 
 
-def fit(features: list[list[str]], labels: np.ndarray, swaps: list[tuple[str, str]]) -> Model:
+def fit(kept: list[str], features: list[list[str]], labels: np.ndarray, swaps: list[tuple[str, str]]) -> Model:
+    """Weights of the parts in ``kept``, which the rows' ``features`` are taken from."""
     total, positive = len(labels), int(labels.sum())
     intercept = math.log((positive + 1) / (total - positive + 1))
-    if not 0 < positive < total:
+    if not kept or not 0 < positive < total:
         return Model({}, intercept)
-    lengths = np.array([len(f) for f in features])
-    coded = pa.array([p for f in features for p in f], pa.string()).dictionary_encode()
-    names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    owner = np.repeat(np.arange(total), lengths)
-    rows = np.bincount(code, minlength=len(names)).astype(float)
-    hits = np.bincount(code, weights=labels[owner], minlength=len(names))
-    score = np.where(rows >= LEAST_ROWS, surprise(rows, hits, total, positive), 0.0)
-    kept = sorted(np.flatnonzero(score >= LEAST_SURPRISE), key=lambda i: (-score[i], names[i]))[:MOST_FEATURES]
-    place = np.full(len(names), -1)
-    place[kept] = np.arange(len(kept))
-    there = place[code] >= 0
+    column = {name: k for k, name in enumerate(kept)}
     x = np.zeros((total, len(kept)), np.float32)
-    x[owner[there], place[code[there]]] = 1.0
-    column = {names[i]: k for k, i in enumerate(kept)}
+    for row, found in enumerate(features):
+        x[row, [column[name] for name in found]] = 1.0
     changes = np.zeros((len(swaps), len(kept)), np.float32)
     for i, (gone, come) in enumerate(swaps):
         for words, sign in ((gone, -1.0), (come, 1.0)):
@@ -144,7 +136,7 @@ def fit(features: list[list[str]], labels: np.ndarray, swaps: list[tuple[str, st
         push = step / (step + 3.0)
         w_ahead, b_ahead = new_w + push * (new_w - w), new_b + push * (new_b - b)
         w, b = new_w, new_b
-    return Model({names[i]: float(w[k]) for k, i in enumerate(kept)}, float(b))
+    return Model({name: float(w[k]) for name, k in column.items()}, float(b))
 
 
 def held_out() -> Column:
@@ -168,11 +160,22 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     chosen = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id").limit(rows)
     texts = ids_and_texts(docs).join(F.broadcast(chosen), "doc_id")  # ``rows`` rows at most
-    table = texts.select("doc_id", "toxic", features("text").alias("parts"), swaps("text").alias("swaps")).toArrow()
-    order = np.lexsort((table["doc_id"].to_numpy(),))
-    found = [table["parts"][int(i)].as_py() for i in order]
-    changes = sorted({tuple(s) for row in table["swaps"].to_pylist() for s in row})
-    return fit(found, table["toxic"].to_numpy()[order].astype(float), changes)
+    sample = checkpointed(texts.select("doc_id", "toxic", features("text").alias("parts"), swaps("text").alias("swaps")))
+    total, positive = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    kept: list[str] = []
+    if 0 < positive < total:
+        # Parts are counted where they are; only those that tell something come to the driver.
+        counted = sample.select("toxic", F.explode("parts").alias("part")).groupBy("part")
+        counted = counted.agg(F.count("*").alias("rows"), F.sum("toxic").alias("hits")).filter(F.col("rows") >= LEAST_ROWS)
+        telling = counted.withColumn("surprise", surprise(total, positive)).filter(F.col("surprise") >= LEAST_SURPRISE)
+        best = telling.orderBy(F.col("surprise").desc(), "part").limit(MOST_FEATURES)
+        kept = [row["part"] for row in best.collect()]
+    known = F.array(*map(F.lit, kept)).cast("array<string>")
+    found = sample.select("doc_id", "toxic", F.array_intersect("parts", known).alias("parts")).collect()
+    found.sort(key=lambda row: (row["doc_id"], row["toxic"], row["parts"]))
+    changes = sample.select(F.explode("swaps").alias("change")).distinct().collect()
+    changes = sorted(tuple(row["change"]) for row in changes)
+    return fit(kept, [row["parts"] for row in found], np.array([row["toxic"] for row in found], float), changes)
 
 
 def score(text: str | Column, model: Model) -> Column:
