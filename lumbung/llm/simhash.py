@@ -22,7 +22,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,11 +149,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Whole rows, one of each group: the one with the smallest id (null last), then the smallest text hash."""
     first = rooted(checkpointed(fingerprints(docs))).groupBy("root").agg(F.min("first").alias("first"))
-    first = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
-    rows = whole_rows(docs).select("row", "doc_id", F.xxhash64("text").alias("text_hash"))
-    chosen = rows.join(
-        first, rows["doc_id"].eqNullSafe(first["first_id"]) & (rows["text_hash"] == first["first_hash"]), "left_semi"
+    first = first.select(F.col("first.none").alias("none"), id_or_zero("first.doc_id").alias("id"), "first.text_hash")
+    rows = whole_rows(docs).select(
+        "row", F.col("doc_id").isNull().alias("none"), id_or_zero("doc_id").alias("id"), F.xxhash64("text").alias("text_hash")
     )
-    # Only repeated rows (same id and text) are still together.
-    numbered = Window.partitionBy("doc_id", "text_hash").orderBy(F.xxhash64("row"))
+    keys = ["none", "id", "text_hash"]
+    chosen = rows.join(first, keys, "left_semi")
+    # Only repeated rows (same id and text) are still together; they already lie where the join has put them.
+    numbered = Window.partitionBy(*keys).orderBy(F.xxhash64("row"))
     return chosen.withColumn("n", F.row_number().over(numbered)).filter("n = 1").select("row.*")
+
+
+def id_or_zero(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0).cast("long"))
