@@ -212,12 +212,13 @@ def test_counts_equal_a_plain_version(documents):
 def test_verdicts_do_not_depend_on_the_order(documents):
     clean = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
     texts = [clean, clean.upper(), clean.replace(" ", "!! "), clean.replace(" ", " | "), " ".join("aaa" if i % 5 else f"b{i}" for i in range(80))]
-    rows = quality_rules.counted(documents(*enumerate(texts)))
+    docs = documents(*enumerate(texts))
+    rows = quality_rules.counted(docs)
     rules = quality_rules.rules()
     for order in (list(rules), list(reversed(rules))):
         kept = rows.select("doc_id", quality_rules.cascade(rules, order).isNull().alias("kept")).collect()
         assert {r["doc_id"] for r in kept if r["kept"]} == {0}
-    assert sorted(quality_rules.measured_order(rows, rules)) == sorted(rules)
+    assert sorted(quality_rules.measured_order(docs, rules)) == sorted(rules)
 
 
 def test_native_operators_run_no_python(documents):
