@@ -84,6 +84,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def links(distinct: DataFrame, most_bits: int = MOST_DIFFERING_BITS) -> DataFrame:
     """Pairs ``a`` < ``b`` of distinct fingerprints that differ in at most two bits."""
+    if most_bits > MOST_DIFFERING_BITS:
+        raise ValueError(f"keys only cover {MOST_DIFFERING_BITS} differing bits, not {most_bits}")
     keyed = distinct.select("fingerprint", F.explode(candidate_keys("fingerprint")).alias("key"))
     left = keyed.select("key", F.col("fingerprint").alias("a"))
     right = keyed.select("key", F.col("fingerprint").alias("b"))
@@ -148,7 +150,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Whole rows, one of each group: the one with the smallest id (null last), then the smallest text hash."""
-    first = rooted(checkpointed(fingerprints(docs))).groupBy("root").agg(F.min("first").alias("first"))
+    return first_rows(docs, rooted(checkpointed(fingerprints(docs))))
+
+
+def first_rows(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Whole rows of the first document of each ``root``."""
+    first = nodes.groupBy("root").agg(F.min("first").alias("first"))
     first = first.select(F.col("first.none").alias("none"), id_or_zero("first.doc_id").alias("id"), "first.text_hash")
     rows = whole_rows(docs).select(
         "row", F.col("doc_id").isNull().alias("none"), id_or_zero("doc_id").alias("id"), F.xxhash64("text").alias("text_hash")
