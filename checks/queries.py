@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.rawdata import AS_OF, LOADED_AT, Layers, raw_order_heads
+from checks.rawdata import AS_OF, LOADED_AT, Layers, raw_order_heads, first_parts, with_item_counts
 from lumbung import constants as C
 from lumbung.functions.amounts import at_least, count_where, decimals_to_double, percent, sum_where
 from lumbung.functions.text import has_email_format, lowered, raised, trimmed
@@ -91,10 +91,12 @@ def ingest_products_csv(x: Layers) -> DataFrame:
 
 @query
 def ingest_orders_json(x: Layers) -> DataFrame:
-    orders = read_landed(x)["orders"]
+    # Landed loads of an order have the same id and time; parts repeat the other fields of their document.
+    head = ("customer_id", "order_date", "status", "payment_method", "channel", "total_amount")
+    orders = with_item_counts(tables.settle(read_landed(x)["orders"], "landed_orders"), "items", *head)
     return orders.select(
         "order_id", "customer_id", "order_date", "status", "payment_method", "channel", "total_amount",
-        F.json_array_length("items").alias("n_items"), "_source_system", "_loaded_at",
+        F.col("items").alias("n_items"), "_source_system", "_loaded_at",
     )
 
 
@@ -104,7 +106,7 @@ def raw_provenance(x: Layers) -> DataFrame:
     origins = [
         raw["customers"].select(F.lit("customers").alias("raw_table"), F.col("_source_file").alias("origin"), "_loaded_at"),
         raw["products"].select(F.lit("products").alias("raw_table"), F.col("_source_file").alias("origin"), "_loaded_at"),
-        raw["orders"].select(F.lit("orders").alias("raw_table"), F.col("_source_system").alias("origin"), "_loaded_at"),
+        first_parts(raw["orders"]).select(F.lit("orders").alias("raw_table"), F.col("_source_system").alias("origin"), "_loaded_at"),
     ]
     return quality.stack(origins).groupBy("raw_table", "origin", "_loaded_at").agg(F.count("*").alias("n_rows"))
 
@@ -118,6 +120,7 @@ def raw_full_refresh(x: Layers) -> DataFrame:
     for name in raw:
         tables.refresh(raw[name], f"{warehouse}/{name}")
         loaded[name] = tables.refresh(raw[name], f"{warehouse}/{name}")
+    loaded["orders"] = first_parts(loaded["orders"])
     return quality.raw_counts(loaded).select("target", F.col("rows").alias("n_rows"))
 
 
@@ -212,7 +215,7 @@ def typed_casts(x: Layers) -> DataFrame:
 
 @query
 def order_dates(x: Layers) -> DataFrame:
-    return x.stg_orders.select("order_id", "ordered_at", "order_date")
+    return first_parts(x.stg_orders).select("order_id", "ordered_at", "order_date")
 
 
 @query
@@ -220,7 +223,7 @@ def hygiene_flags(x: Layers) -> DataFrame:
     flags = [
         x.stg_customers.select(F.lit("valid_email").alias("flag"), F.col("is_valid_email").alias("value")),
         x.stg_products.select(F.lit("valid_pricing").alias("flag"), F.col("is_valid_pricing").alias("value")),
-        x.stg_orders.select(F.lit("status_present").alias("flag"), F.col("is_status_present").alias("value")),
+        first_parts(x.stg_orders).select(F.lit("status_present").alias("flag"), F.col("is_status_present").alias("value")),
         x.line_items.select(F.lit("registered_customer").alias("flag"), F.col("is_registered_customer").alias("value")),
     ]
     return quality.stack(flags).groupBy("flag", "value").agg(F.count("*").alias("n_rows"))
@@ -241,9 +244,7 @@ def stg_products(x: Layers) -> DataFrame:
 
 @query
 def stg_orders(x: Layers) -> DataFrame:
-    return x.stg_orders.withColumn("items_jsonb", F.json_array_length("items_jsonb")).withColumnRenamed(
-        "items_jsonb", "n_items"
-    ).drop(*C.PART_FIELDS)
+    return with_item_counts(x.stg_orders, "items_jsonb").withColumnRenamed("items_jsonb", "n_items").drop(*C.PART_FIELDS)
 
 
 @query
@@ -510,13 +511,13 @@ def dq_not_null(x: Layers) -> DataFrame:
         quality.RowTest("raw.items", "not_null", c, F.col(c).isNull()) for c in ("qty", "unit_price", "discount")
     ]
     items = explode_items(x.stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS))
-    on_raw = quality.row_failures({"raw.orders": x.raw_orders, "raw.items": items}, raw + lines)
+    on_raw = quality.row_failures({"raw.orders": first_parts(x.raw_orders), "raw.items": items}, raw + lines)
     return on_raw.unionByName(quality.row_failures(x.marts, quality.not_null_tests()))
 
 
 @query
 def dq_unique(x: Layers) -> DataFrame:
-    raw = {"raw.customers": x.raw_customers, "raw.products": x.raw_products, "raw.orders": x.raw_orders}
+    raw = {"raw.customers": x.raw_customers, "raw.products": x.raw_products, "raw.orders": first_parts(x.raw_orders)}
     keys = [
         quality.UniqueTest("raw.customers", "customer_id"),
         quality.UniqueTest("raw.products", "product_id"),
@@ -527,7 +528,7 @@ def dq_unique(x: Layers) -> DataFrame:
 
 @query
 def dq_relationships(x: Layers) -> DataFrame:
-    raw = {"raw.customers": x.raw_customers, "raw.orders": x.raw_orders}
+    raw = {"raw.customers": x.raw_customers, "raw.orders": first_parts(x.raw_orders)}
     on_raw = quality.parent_failures(
         raw, [quality.ParentTest("raw.orders", "customer_id", "raw.customers", "customer_id")]
     )
@@ -614,12 +615,12 @@ def dq_stock_rows(x: Layers) -> DataFrame:
 @query
 def dq_orphan_rows(x: Layers) -> DataFrame:
     test = quality.ParentTest("raw.orders", "customer_id", "raw.customers", "customer_id")
-    return quality.violating_rows({"raw.orders": x.raw_orders, "raw.customers": x.raw_customers}, test)
+    return quality.violating_rows({"raw.orders": first_parts(x.raw_orders), "raw.customers": x.raw_customers}, test)
 
 
 @query
 def dq_raw_counts(x: Layers) -> DataFrame:
-    raw = {"customers": x.raw_customers, "products": x.raw_products, "orders": x.raw_orders}
+    raw = {"customers": x.raw_customers, "products": x.raw_products, "orders": first_parts(x.raw_orders)}
     return quality.raw_counts(raw).withColumnRenamed("rows", "n_rows")
 
 
@@ -640,4 +641,4 @@ def dq_dirty_profile(x: Layers) -> DataFrame:
 
 @query
 def dq_accepted_values(x: Layers) -> DataFrame:
-    return quality.status_and_payment_values(x.stg_orders)
+    return quality.status_and_payment_values(first_parts(x.stg_orders))

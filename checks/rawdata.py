@@ -47,56 +47,76 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parts_of_orders(lines: DataFrame, document_items: int) -> DataFrame:
-    """Each order's lines as JSON documents of at most so many lines, cut along the order of the lines.
+    """Each order's lines as JSON documents, cut along the order of the lines at multiples of so many lines.
 
     Lines are sorted over the cluster, so a very large order is spread over ranges and no task gathers more of it
-    than its range. Parts are numbered from a table with one small row per document.
+    than its range or a document. Where ranges end does not matter: lines are numbered over all ranges of their order.
     """
     item = ("product_id", "qty", "unit_price", "discount")
     ranges = lines.repartitionByRange("l_orderkey", F.col("product_id").asc_nulls_last(), *item[1:])
     sortable = F.struct(F.col("product_id").isNull().alias("none"), *item)
-    gathered = (
+    gathered = settle(
         ranges.withColumn("range", F.spark_partition_id())
         .groupBy("l_orderkey", "range")
-        .agg(F.sort_array(F.collect_list(sortable)).alias("lines"))
+        .agg(F.sort_array(F.collect_list(sortable)).alias("lines")),
+        "ranges",
     )
-    starts = F.sequence(F.lit(0), F.size("lines") - 1, F.lit(document_items))
-    pieces = gathered.select(
-        "l_orderkey",
-        "range",
-        F.posexplode(F.transform(starts, lambda at: F.slice("lines", at + 1, document_items))).alias("piece", "cut"),
+    in_order = Window.partitionBy("l_orderkey").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = gathered.select("l_orderkey", "range", F.size("lines").cast("long").alias("n"))
+    later = sizes.withColumn("before", F.sum("n").over(in_order)).filter("before > 0").drop("n")
+    placed = gathered.join(later, ["l_orderkey", "range"], "left").withColumn("before", F.coalesce("before", F.lit(0).cast("long")))
+    # Cuts of a range's lines: the rest of the document that is open, then whole documents.
+    room = (F.lit(document_items) - F.col("before") % document_items).cast("int")
+    starts = F.concat(
+        F.array(F.lit(0)),
+        F.when(room < F.size("lines"), F.sequence(room, F.size("lines") - 1, F.lit(document_items))).otherwise(
+            F.array().cast("array<int>")
+        ),
     )
+
+    def cut(at):
+        length = F.when(at == 0, room).otherwise(F.lit(document_items))
+        place = (F.floor((F.col("before") + at) / document_items)).cast("int")
+        return F.struct(place.alias("part"), F.slice("lines", at + 1, length).alias("cut"))
+
+    pieces = placed.select("l_orderkey", "range", F.inline(F.transform(starts, cut)))
+    whole = pieces.groupBy("l_orderkey", "part").agg(F.sort_array(F.collect_list(F.struct("range", "cut"))).alias("cuts"))
+    whole = whole.select("l_orderkey", "part", F.flatten("cuts.cut").alias("cut"))
     plain = F.transform("cut", lambda one: F.struct(*[one[c].alias(c) for c in item]))
     written = settle(
-        pieces.select(
-            "l_orderkey",
-            "range",
-            "piece",
-            F.size("cut").alias("n"),
-            F.element_at("cut", -1)["product_id"].alias("last_product"),
-            F.to_json(plain).alias("items"),
+        whole.select(
+            "l_orderkey", "part", F.element_at("cut", -1)["product_id"].alias("last_product"), F.to_json(plain).alias("items")
         ),
         "parts",
     )
-    in_order = Window.partitionBy("l_orderkey").orderBy("range", "piece")
-    numbered = written.select(
-        "l_orderkey",
-        "range",
-        "piece",
-        (F.row_number().over(in_order) - 1).alias("part"),
-        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).cast("long").alias("lines_before"),
-        F.lag("last_product").over(in_order).alias("product_before"),
-    ).filter("part > 0")
-    keys = ["l_orderkey", "range", "piece"]
-    return written.join(numbered, keys, "left").select(
+    # The part after each one; few orders have one.
+    ended = written.select("l_orderkey", (F.col("part") + 1).alias("part"), F.col("last_product").alias("product_before"))
+    further = written.filter("part > 0").select("l_orderkey", "part").join(ended, ["l_orderkey", "part"])
+    return written.join(further, ["l_orderkey", "part"], "left").select(
         "l_orderkey",
         "items",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("lines_before", F.lit(0).cast("long")).alias("lines_before"),
+        "part",
+        (F.col("part").cast("long") * document_items).alias("lines_before"),
         "product_before",
     )
 
 
+def first_parts(orders: DataFrame) -> DataFrame:
+    """One row per order document, however many parts it comes in."""
+    return orders.filter(F.coalesce("part", F.lit(0)) == 0)
+
+
+def with_item_counts(orders: DataFrame, items: str, *load: str) -> DataFrame:
+    """One row per order document (of each ``load``) with the number of its items in all parts instead of ``items``."""
+    keys = ["order_id", *load]
+    counted = orders.withColumn(items, F.json_array_length(items))
+    more = counted.filter("part > 0").groupBy(*[F.col(k).alias(f"_{k}_of_part") for k in keys])
+    more = more.agg(F.sum(items).cast("int").alias("_more"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}_of_part")) for k in keys]
+    joined = first_parts(counted).join(more, same, "left").withColumn(items, F.col(items) + F.coalesce("_more", F.lit(0)))
+    return joined.drop("_more", *[f"_{k}_of_part" for k in keys])
+
+
 def raw_orders(spark: SparkSession, folder: str, document_items: int = DOCUMENT_ITEMS) -> DataFrame:
     """Order documents: heads with their lines nested as JSON.
 

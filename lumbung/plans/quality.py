@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lumbung import constants as C
 from lumbung.functions.amounts import count_where
 from lumbung.functions.text import has_email_format
+from lumbung.plans.staging import VERSION
 from lumbung.schemas import ITEM_TEXT
 
 
@@ -222,9 +223,25 @@ def document_violations(raw_orders: DataFrame) -> DataFrame:
         "items.type.unit_price": any_item(no_number("unit_price")),
         "items.type.discount": any_item(no_number("discount")),
     }
-    parsed = raw_orders.withColumn("parsed", items)
-    counts = parsed.agg(*[count_where(rule).alias(f"n{i}") for i, rule in enumerate(rules.values())])
-    rows = F.array(*[outcome("document", name, F.col(f"n{i}")) for i, name in enumerate(rules)])
+    names = list(rules)
+    part = F.coalesce("part", F.lit(0)) if "part" in raw_orders.columns else F.lit(0)
+    load = VERSION if VERSION in raw_orders.columns else F.lit(None).alias(VERSION)
+    flags = [F.coalesce(rule, F.lit(False)).alias(f"f{i}") for i, rule in enumerate(rules.values())]
+    judged = raw_orders.withColumn("parsed", items).select("order_id", load, part.alias("part"), *flags)
+    first = judged.filter("part = 0")
+    counts = first.agg(*[count_where(F.col(f"f{i}")).alias(f"n{i}") for i in range(len(names))])
+    if "part" in raw_orders.columns:
+        # A document in parts counts once: further parts only add what their first part does not show, for items.
+        by_items = [i for i, name in enumerate(names) if name.startswith("items.")]
+        keys = ["order_id", VERSION]
+        further = judged.filter("part > 0").groupBy(*keys).agg(*[F.bool_or(f"f{i}").alias(f"g{i}") for i in by_items])
+        known = first.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.bool_or(f"f{i}").alias(f"f{i}") for i in by_items])
+        both = further.join(known, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left")
+        fresh = [count_where(F.col(f"g{i}") & ~F.coalesce(f"f{i}", F.lit(False))).alias(f"m{i}") for i in by_items]
+        counts = counts.crossJoin(both.agg(*fresh)).select(
+            *[(F.col(f"n{i}") + F.col(f"m{i}") if i in by_items else F.col(f"n{i}")).alias(f"n{i}") for i in range(len(names))]
+        )
+    rows = F.array(*[outcome("document", name, F.col(f"n{i}")) for i, name in enumerate(names)])
     return counts.select(F.inline(rows))
 
 

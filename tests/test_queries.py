@@ -71,3 +71,35 @@ def test_hot_order_is_split(spark, tmp_path):
     lines = raw_lines(spark, str(tmp_path)).join(keys, "l_orderkey").count()
     newest = [d for d in documents if d["_loaded_at"].month == 12]
     assert sum(len(json.loads(d["items"])) for d in newest) == lines
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "stg_orders", "ingest_orders_json", "raw_provenance", "raw_full_refresh", "order_dates", "hygiene_flags", "dq_not_null",
+        "dq_unique", "dq_orphan_rows", "dq_raw_counts", "dq_document_violations", "dq_accepted_values", "dq_relationships",
+    ],
+)
+def test_documents_count_once_however_many_parts(spark, db, monkeypatch, name):
+    monkeypatch.setattr(Layers, "document_items", 2)
+    assert difference(spark, db, name, FOLDER) == ""
+
+
+def test_ranges_do_not_cut_orders(spark):
+    """Orders below the limit stay whole with many range partitions."""
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "50")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        ranges = raw_lines(spark, FOLDER).repartitionByRange("l_orderkey", "product_id", "qty", "unit_price", "discount")
+        assert ranges.select(F.spark_partition_id().alias("p")).distinct().count() > 10
+        assert raw_orders(spark, FOLDER).filter("part > 0").count() == 0
+        parts = raw_orders(spark, FOLDER, document_items=3).filter("month(_loaded_at) = 12").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sizes = {}
+    for row in parts:
+        sizes.setdefault(row["order_id"], {})[row["part"]] = len(json.loads(row["items"]))
+    for found in sizes.values():
+        assert sorted(found) == list(range(len(found))) and all(found[p] == 3 for p in range(len(found) - 1))
