@@ -1,7 +1,7 @@
 """Secrets in texts: fixed formats, and strings that zstandard finds new in a sensitive context.
 
 A candidate is a long string of key characters with letters and digits that
-follows a sensitive word on its line. Its novelty is the number of bytes that
+follows a sensitive word on its line, also right after ``NAME=``. Its novelty is the number of bytes that
 its compression adds, per character, when the compressor already knows the
 surrounding text and a dictionary of identifiers. Names built from known parts
 add few bytes; random keys add about one byte per character.
@@ -28,6 +28,8 @@ LEAST_VALUE, LEAST_ACCESS = 8, 16
 ASSIGN_PARTS = ("passw", "secret", "token", "api")
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+LEAST_CANDIDATE = 16
+INNER_EQUALS = re.compile(r"=+(?=[^=])")  # padding at the end is no separator
 CONTEXT = re.compile(
     r"pass(word|wd|phrase)|pwd|secret|token|bearer|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth|credential|signature",
     re.I,
@@ -76,19 +78,30 @@ def novelty(candidate: str, surroundings: str) -> float:
     return (len(packer.compress(candidate.encode())) - empty_frame()) / len(candidate)
 
 
+def novel_in(text: str, start: int, end: int, taken: list[tuple[str, int, int]]) -> float | None:
+    """Novelty of a candidate in a sensitive context, if it is high enough."""
+    value = text[start:end]
+    if end - start < LEAST_CANDIDATE or not (any(map(str.isdigit, value)) and any(map(str.isalpha, value))):
+        return None
+    line = text[max(0, start - CONTEXT_BEFORE) : start].rpartition("\n")[2]
+    if not CONTEXT.search(line) or any(s < end and start < e for _, s, e in taken):
+        return None
+    score = novelty(value, text[max(0, start - SURROUNDINGS) : start] + text[end : end + SURROUNDINGS])
+    return score if score >= LEAST_NOVELTY else None
+
+
 def novel_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int, float]]:
+    """Values after the names they are assigned to (``NAME=value`` is one run of key characters), else whole runs."""
     found = []
     for match in CANDIDATE.finditer(text):
         start, end = match.span()
-        value = match.group()
-        if not (any(map(str.isdigit, value)) and any(map(str.isalpha, value))):
-            continue
-        line = text[max(0, start - CONTEXT_BEFORE) : start].rpartition("\n")[2]
-        if not CONTEXT.search(line) or any(s < end and start < e for _, s, e in taken):
-            continue
-        score = novelty(value, text[max(0, start - SURROUNDINGS) : start] + text[end : end + SURROUNDINGS])
-        if score >= LEAST_NOVELTY:
-            found.append(("novel", start, end, score))
+        cuts = [m.span() for m in INNER_EQUALS.finditer(match.group())]
+        starts = [start, *[start + at for _, at in cuts]]
+        ends = [*[start + at for at, _ in cuts], end]
+        parts = [*zip(starts, ends)] if cuts else []
+        scored = [(s, e, novel_in(text, s, e, taken)) for s, e in parts]
+        scored = [one for one in scored if one[2] is not None] or [(start, end, novel_in(text, start, end, taken))]
+        found += [("novel", s, e, score) for s, e, score in scored if score is not None]
     return found
 
 

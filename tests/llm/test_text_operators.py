@@ -91,6 +91,16 @@ def test_novelty_separates_keys_from_names():
     assert not secret_scan.find("no context for q8Zt3LxV0bN7wKpR2mYc here")
 
 
+@pytest.mark.parametrize(
+    "before", ["AWS_SECRET_ACCESS_KEY=", "export PRIVATE_KEY=", "AUTH_KEY=", "CREDENTIAL=", "https://x.org/a?b=1&signature=", "x=auth_key="]
+)
+@pytest.mark.parametrize("value", ["q8Zt3LxV0bN7wKpR2mYc", "q8Zt3LxV0bN7wKpR2mYcA9=="])
+def test_values_right_after_their_names(before, value):
+    found = [s[:3] for s in secret_scan.find(before + value) if s[0] == "novel"]
+    assert found == [("novel", len(before), len(before + value))]
+    assert not secret_scan.find("PLAIN_NAME=" + value)
+
+
 # ---------------------------------------------------------------- digests
 
 
