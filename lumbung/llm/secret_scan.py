@@ -4,13 +4,16 @@ A candidate is a long string of key characters with letters and digits that
 follows a sensitive word on its line, also right after ``NAME=``. Its novelty is the number of bytes that
 its compression adds, per character, when the compressor already knows the
 surrounding text and a dictionary of identifiers. Names built from known parts
-add few bytes; random keys add about one byte per character.
+add few bytes; random keys add about one byte per character,
+less when they are long. What random strings of that length and alphabet add is measured, and is what candidates are compared with.
 """
 
 from __future__ import annotations
 
 import functools
+import random
 import re
+import string
 
 import pyarrow as pa
 import zstandard
@@ -36,7 +39,8 @@ CONTEXT = re.compile(
 )
 CONTEXT_BEFORE = 48  # characters of the line before a candidate that may hold the sensitive word
 SURROUNDINGS = 512  # characters on either side that the compressor knows
-LEAST_NOVELTY = 0.9  # added bytes per character
+LEAST_NOVELTY = 0.9  # share of the bytes that a random string of the same length and alphabet adds
+DRAWN = 5  # random strings to compare with
 LEVEL = 9
 # What names in code and configuration are made of.
 IDENTIFIERS = b" ".join(
@@ -78,6 +82,26 @@ def novelty(candidate: str, surroundings: str) -> float:
     return (len(packer.compress(candidate.encode())) - empty_frame()) / len(candidate)
 
 
+def alphabet_of(value: str) -> str:
+    """The smallest usual alphabet of keys that has all characters of a string."""
+    for usual in ("0123456789ABCDEF", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        if set(value) <= set(usual):
+            return usual
+    classes = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
+    return "".join(c for c in classes if set(c) & set(value)) + "".join(sorted(set(value) - set("".join(classes))))
+
+
+@functools.lru_cache(4096)
+def usual_novelty(length: int, alphabet: str) -> float:
+    """What random strings of this length and alphabet add per character, at most one byte.
+
+    Long strings get entropy codes, so fewer bytes than characters. The strings are drawn with a fixed seed.
+    """
+    dice = random.Random(f"{length} {alphabet}")
+    drawn = ["".join(dice.choices(alphabet, k=length)) for _ in range(DRAWN)]
+    return min(1.0, sum(novelty(one, "") for one in drawn) / DRAWN)
+
+
 def novel_in(text: str, start: int, end: int, taken: list[tuple[str, int, int]]) -> float | None:
     """Novelty of a candidate in a sensitive context, if it is high enough."""
     value = text[start:end]
@@ -87,7 +111,7 @@ def novel_in(text: str, start: int, end: int, taken: list[tuple[str, int, int]])
     if not CONTEXT.search(line) or any(s < end and start < e for _, s, e in taken):
         return None
     score = novelty(value, text[max(0, start - SURROUNDINGS) : start] + text[end : end + SURROUNDINGS])
-    return score if score >= LEAST_NOVELTY else None
+    return score if score >= LEAST_NOVELTY * usual_novelty(end - start, alphabet_of(value.rstrip("="))) else None
 
 
 def novel_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int, float]]:

@@ -101,6 +101,22 @@ def test_values_right_after_their_names(before, value):
     assert not secret_scan.find("PLAIN_NAME=" + value)
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"])
+@pytest.mark.parametrize("length", [16, 20, 40, 64, 100, 128, 300, 500, 1000, 2000])
+def test_random_keys_of_any_length_are_novel(alphabet, length):
+    dice = random.Random(length)
+    for _ in range(10):
+        key = "A2" + "".join(dice.choices(alphabet, k=length - 2))
+        assert [s[:3] for s in secret_scan.find(f"bearer {key}") if s[0] == "novel"] == [("novel", 7, 7 + length)]
+
+
+def test_long_names_are_not_novel():
+    names = "user_session_token_handler_2024_01/config.access_error_message/"
+    for times in (1, 3, 10):
+        assert not secret_scan.find("auth " + names * times)
+    assert not secret_scan.find("auth " + "_".join("client request cookie environment template region storage 2023 module package signing widget".split() * 2))
+
+
 # ---------------------------------------------------------------- digests
 
 
