@@ -52,31 +52,44 @@ OUTSIDE_NAMES = {
 }
 INSIDE_NAMES = {"article", "content", "entry", "main", "maincontent", "post", "story"}
 COMMENT_NAMES = {"comment", "comments", "reply", "disqus"}
-NEUTRAL, MAIN, OTHER = 0, 1, 2
+WITHOUT_MEANING = {"has", "with", "no"}  # begin names that tell what else is on the page
+# In CLOSED, which is OTHER to the tree, names of main text don't count.
+NEUTRAL, MAIN, OTHER, CLOSED = 0, 1, 2, 3
 
 
 def container(name: str, attributes: str, around: int) -> int:
     """What an element says about the text in it; otherwise what its surroundings say."""
-    named_as: set[str] = set()
+    named_as: list[set[str]] = []
     if "=" in attributes or "hidden" in attributes.lower():
         for key, value in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true":
-                return OTHER
+                return CLOSED
             if key == "style":
                 if "display:none" in value.replace(" ", ""):
-                    return OTHER
+                    return CLOSED
             else:
-                named_as |= set(re.split(r"[^a-z0-9]+", value))
+                words = [re.split(r"[^a-z0-9]+", one) for one in value.split()]
+                named_as += [set(one) for one in words if one[0] not in WITHOUT_MEANING]
+    of_comments = any(one & COMMENT_NAMES for one in named_as)
     if name in INSIDE:
-        return OTHER if named_as & COMMENT_NAMES else MAIN
+        return CLOSED if of_comments else MAIN
     if name in OUTSIDE or name == "header" and around != MAIN:
-        return OTHER
+        return CLOSED
     if name in ("html", "body"):
         return around
-    if named_as & OUTSIDE_NAMES or name != "header" and "header" in named_as and around != MAIN:
-        return OTHER
-    return MAIN if named_as & INSIDE_NAMES and around != OTHER else around
+    outside = [
+        bool(one & OUTSIDE_NAMES) or name != "header" and "header" in one and around != MAIN for one in named_as
+    ]
+    inside = any(one & INSIDE_NAMES and not out for one, out in zip(named_as, outside))
+    if around == CLOSED:
+        return CLOSED
+    if any(outside):
+        # Names of both kinds leave it to the words and links.
+        return NEUTRAL if inside and around != OTHER else CLOSED if of_comments else OTHER
+    if inside:
+        return NEUTRAL if around == OTHER else MAIN
+    return around
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
@@ -91,7 +104,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
         words = "".join(parts).split()
         if words:
             in_links = len("".join(linked).split())
-            found.append((" ".join(words), len(words), min(in_links, len(words)), stack[-1][1] if stack else NEUTRAL))
+            found.append((" ".join(words), len(words), min(in_links, len(words)), min(stack[-1][1], OTHER) if stack else NEUTRAL))
         parts.clear()
         linked.clear()
 
@@ -111,6 +124,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
         rest = match["rest"] if match["name"] else match["rest2"]
         if not name:
             continue
+        if name == "svg" and not closing and rest.endswith("/"):
+            continue
         if name in RAW and not closing:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else len(page)

@@ -341,3 +341,24 @@ def test_accuracy_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity.scores(docs, labels).join(labels, "doc_id").filter("held_out").collect()
     assert sum(r["predicted"] == r["toxic"] for r in found) / len(found) > 0.9
+
+
+LONG = "The harbour town rebuilt its old market hall last year, and the traders who had left came back one after another. " * 4
+
+
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<div id="content" class="has-sidebar">', '<div class="post no-comments">', '<div class="article with-banner">',
+        '<div class="layout social-feed"><div class="entry">', '<div class="banner content">', '<article class="post no-comments">',
+        "<div><svg/>", '<div><svg class="icon" />',
+    ],
+)
+def test_main_text_in_containers_with_names_of_both_kinds(opening):
+    page = f'<html><body><ul class="nav"><li><a href="/">Home</a></li></ul>{opening}<p>{LONG}</p></div></div></article></body></html>'
+    assert LONG.strip() in pages.main_text(page, pages.trained())
+
+
+def test_text_of_comments_stays_outside():
+    states = [b[3] for b in pages.blocks(f'<div class="comments"><div class="content"><p>{LONG}</p></div></div>')]
+    assert states == [pages.OTHER]
