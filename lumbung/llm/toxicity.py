@@ -159,7 +159,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     marked = marked.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~held_out())
     chosen = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id").limit(rows)
-    texts = ids_and_texts(docs).join(F.broadcast(chosen), "doc_id")  # ``rows`` rows at most
+    texts = ids_and_texts(docs).join(F.broadcast(chosen), "doc_id")
+    # Repeated rows of an id are one, the one with the smallest text hash, in every task before the shuffle.
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    texts = texts.groupBy("doc_id", "toxic").agg(first).select("doc_id", "toxic", "first.text")  # ``rows`` rows at most
     sample = checkpointed(texts.select("doc_id", "toxic", features("text").alias("parts"), swaps("text").alias("swaps")))
     total, positive = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     kept: list[str] = []

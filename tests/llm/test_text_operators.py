@@ -362,3 +362,12 @@ def test_main_text_in_containers_with_names_of_both_kinds(opening):
 def test_text_of_comments_stays_outside():
     states = [b[3] for b in pages.blocks(f'<div class="comments"><div class="content"><p>{LONG}</p></div></div>')]
     assert states == [pages.OTHER]
+
+
+def test_repeated_rows_of_an_id_are_learnt_from_once(documents, labels):
+    rows = [(i, f"plain words of text {'nasty' if i % 3 == 0 else 'kind'} here") for i in range(90)]
+    marks = labels(*[(i, 1, int(i % 3 == 0)) for i, _ in rows])
+    once = toxicity.train(documents(*rows), marks)
+    assert once.weights
+    repeated = [*rows, *[rows[3]] * 200, *[rows[4]] * 50]
+    assert toxicity.train(documents(*repeated), marks) == once
