@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import bpe, digest, mixing, pages, personal_data, quality_rules, secret_scan, sharding, simhash, toxicity
+from lumbung.llm import (
+    bpe, digest, mixing, pages, personal_data, prefix_trie, quality_model, quality_rules, secret_scan, sharding, simhash, toxicity,
+    turn_repair,
+)
 from lumbung.llm.tables import ids_and_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +86,18 @@ def op10_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extracted(table(spark, folder, "pages"))
 
 
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.reports(table(spark, folder, "conversations"), planted=True)
+
+
+def op12_hashed_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_golay": op1_simhash_golay,
     "op2_secret_novelty": op2_secret_novelty,
@@ -94,6 +109,9 @@ QUERIES: dict[str, Query] = {
     "op8_source_mix": op8_source_mix,
     "op9_boosted_personal_data": op9_boosted_personal_data,
     "op10_page_text": op10_page_text,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_hashed_quality": op12_hashed_quality,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {

@@ -65,5 +65,5 @@ def test_results_of_awkward_rows(awkward, labels):
 def test_registered_once(spark):
     from lumbung.llm.queries import ORACLE, QUERIES
 
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
