@@ -11,6 +11,7 @@ from lumbung.llm import (
     bpe, digest, mixing, pages, personal_data, prefix_trie, quality_model, quality_rules, secret_scan, sharding, simhash, toxicity,
     turn_repair,
 )
+from lumbung.llm.conversation_sql import REPAIR, TRIE
 from lumbung.llm.tables import ids_and_texts, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +116,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op11_turn_repair": REPAIR,
+    "op13_prefix_trie": TRIE,
     "op8_source_mix": r"""
         WITH d AS (
             SELECT doc_id, source,

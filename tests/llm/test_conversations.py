@@ -243,3 +243,21 @@ def test_long_and_copied_conversations_over_many_parts(spark, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before[0])
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+
+
+@pytest.mark.parametrize("name", ["op11_turn_repair", "op13_prefix_trie"])
+def test_queries_equal_their_sql(spark, name, tmp_path):
+    """On rows with nulls, repeated turns and damage of every kind."""
+    import duckdb
+
+    from lumbung.llm.queries import ORACLE, QUERIES
+
+    rows = made_conversations(7) + [(100 * (i // 3), i % 3, "user", "Hi.") for i in range(30)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    wanted = db.execute(ORACLE[name])
+    columns = [c[0] for c in wanted.description]
+    found = QUERIES[name](spark, str(tmp_path))
+    assert sorted(columns) == sorted(found.columns)
+    assert sorted(map(str, wanted.fetchall())) == sorted(str(tuple(r[c] for c in columns)) for r in found.collect())
