@@ -65,21 +65,35 @@ def stg_products(raw: DataFrame) -> DataFrame:
     )
 
 
+# Filters on the raw column, so that the scan can use its statistics: whole documents have no part.
+FIRST_PART, FURTHER_PART = "part IS NULL OR part = 0", "part > 0"
+
+
+def newest_loads(rows: DataFrame) -> DataFrame:
+    """order_id and newest load of every order that some load has cut into parts, without reading items.
+
+    A first part is in every load. Which orders come in parts is asked first; where none do, nothing else is read.
+    """
+    loads = rows.select("order_id", "part", F.col(VERSION).alias("_newest"))
+    cut = loads.filter(FURTHER_PART).select("order_id").distinct()
+    return loads.filter(FIRST_PART).join(cut, "order_id", "left_semi").groupBy("order_id").agg(F.max("_newest").alias("_newest"))
+
+
 def newest_orders(raw: DataFrame) -> DataFrame:
-    """All parts of the newest load of each order.
+    """All parts of the newest load of each order, one row per order and part.
 
-    The newest row per order and part comes first. A first part is always there, so it is of the newest load;
-    further parts are kept if their load is. Those are few, unless an order is very large, and then its rows are
-    spread by part. Documents without parts skip the second step altogether.
+    Whole documents and first parts are read once and shuffled once, by order. Further parts are asked for with a
+    filter that skips all row groups without any, so items are not read twice; they are shuffled by order and part,
+    which spreads a very large order, and only they are compared with the newest load of their order. Both keep one
+    row per key and task before the shuffle.
     """
     rows = raw.withColumn("order_id", trimmed("order_id"))
     if "part" not in raw.columns:
         return latest_by(rows, "order_id", VERSION)
-    rows = rows.withColumn("part", F.coalesce("part", F.lit(0)))
-    per_part = latest_by(rows, ("order_id", "part"), VERSION)
-    loads = rows.filter("part = 0").groupBy("order_id").agg(F.max(VERSION).alias("_newest"))
-    further = per_part.filter("part > 0").join(loads, "order_id").filter(F.col(VERSION) == F.col("_newest"))
-    return per_part.filter("part = 0").unionByName(further.drop("_newest"))
+    first = latest_by(rows.filter(FIRST_PART).withColumn("part", F.lit(0)), "order_id", VERSION)
+    further = latest_by(rows.filter(FURTHER_PART), ("order_id", "part"), VERSION)
+    further = further.join(newest_loads(rows), "order_id").filter(F.col(VERSION) == F.col("_newest"))
+    return first.unionByName(further.drop("_newest"))
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:

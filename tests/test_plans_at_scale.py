@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lumbung.plans import customers, line_items, products, quality, reports, sales
+from lumbung.plans import customers, line_items, products, quality, reports, sales, staging
 from lumbung.schemas import MONEY
 from lumbung.session import size_shuffles
 from lumbung.sources.tables import settle
@@ -136,6 +136,64 @@ def test_parent_test_counts_keys_before_the_join(no_broadcast, layer, people):
     assert frame.first().failures == fact.filter("customer_id = 'UNKNOWN'").count()
 
 
+@pytest.fixture(scope="module")
+def raw_in_parts(spark):
+    """Raw orders as a run writes them: whole documents, and one order in parts, 300 in an old and 120 in a new load."""
+
+    def documents(load, day, parts, lines):
+        items = F.to_json(F.array(F.struct(F.lit("P1").alias("product_id"), F.lit(1).alias("qty"))))
+        whole = spark.range(0, 2_000).select(
+            F.concat(F.lit("O"), F.col("id").cast("string")).alias("order_id"), F.lit(None).cast("int").alias("part")
+        )
+        cut = spark.range(0, parts).select(F.lit(" BIG").alias("order_id"), F.col("id").cast("int").alias("part"))
+        return whole.unionByName(cut).select(
+            "order_id", F.lit("C1").alias("customer_id"), F.lit("2026-09-03T10:00:00+00:00").alias("order_date"),
+            F.lit("completed").alias("status"), F.lit("cod").alias("payment_method"), F.lit("website").alias("channel"),
+            F.lit("0").alias("total_amount"), items.alias("items"), "part", (F.col("part") * lines).cast("long").alias("lines_before"),
+            F.lit(None).cast("string").alias("product_before"), F.lit(load).alias("_source_system"),
+            F.lit(f"2026-09-{day} 00:00:00").cast("timestamp").alias("_loaded_at"),
+        )
+
+    return settle(documents("a", "03", 300, 1).unionByName(documents("b", "04", 120, 1)).repartition(4), "raw_in_parts")
+
+
+def operators(frame):
+    """Every operator of the plan before anything ran, with its arguments."""
+    query = frame._jdf.queryExecution()
+    return frame.sparkSession._jvm.PythonSQLUtils.explainString(query, "formatted").strip().split("\n\n")
+
+
+def test_newest_orders_read_and_shuffle_items_once(no_broadcast, raw_in_parts):
+    frame = staging.stg_orders(raw_in_parts)
+    scans = [o for o in operators(frame) if "ReadSchema" in o]
+    with_items = [o for o in scans if "items:string" in o]
+    # Disjoint filters, and both reach the scan; the other scans read no items.
+    assert sum("Or(IsNull(part),EqualTo(part,0))" in o for o in with_items) == 1
+    assert sum("GreaterThan(part,0)" in o for o in with_items) == 1 and len(with_items) == 2 and len(scans) == 4
+    moved = [o for o in operators(frame) if "Exchange" in o.strip().split("\n")[0] and "items" in o]
+    assert sorted(o[o.index("hashpartitioning") :].count("#") for o in moved) == [1, 2, 2]  # first parts once, by order alone
+    rows = frame.groupBy("order_id", "_loaded_at").count().filter("order_id = 'BIG'").collect()
+    assert [(str(r["_loaded_at"])[:10], r["count"]) for r in rows] == [("2026-09-04", 120)]
+    assert frame.count() == 2_120
+
+
+def test_without_parts_items_are_read_once(spark, raw_in_parts):
+    """The scan for further parts skips every row group."""
+    whole = settle(raw_in_parts.filter("part IS NULL"), "raw_whole")
+    frame = staging.stg_orders(whole)
+    frame.collect()
+    nodes, rows = [frame._jdf.queryExecution().executedPlan().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            nodes.append(node.plan())
+            continue
+        if "items" in node.output().mkString(",") and node.nodeName().startswith("Scan parquet"):
+            rows.append(node.metrics().apply("numOutputRows").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert sum(rows) == whole.count()
+
+
 def test_no_cross_joins_or_global_windows(layer, people):
     fact = sales.fact_order_items(layer)
     daily = sales.fct_daily_sales(layer)
