@@ -773,3 +773,7 @@ expect(
     ),
     "ord",
 )
+
+# The same tests and sums, taken another way.
+ORACLE["dq_report_reread"] = ORACLE["dq_report"]
+ORACLE["revenue_reconciliation_written"] = ORACLE["revenue_reconciliation"]

@@ -493,6 +493,13 @@ def category_share(x: Layers) -> DataFrame:
     return reports.category_share(x.daily)
 
 
+@query
+def revenue_reconciliation_written(x: Layers) -> DataFrame:
+    """Summed by the jobs that write the lines and the fact."""
+    watches = x.watches("line_items", "fact_order_items")
+    return reports.written_reconciliation(x.spark, watches["line_items"], watches["fact_order_items"])
+
+
 @query
 def revenue_reconciliation(x: Layers) -> DataFrame:
     return reports.revenue_reconciliation(x.line_items, x.fact)
@@ -626,6 +633,12 @@ def dq_raw_counts(x: Layers) -> DataFrame:
 
 @query
 def dq_report(x: Layers) -> DataFrame:
+    return quality.mart_report(x.marts, AS_OF, x.watches(*x.marts))
+
+
+@query
+def dq_report_reread(x: Layers) -> DataFrame:
+    """The same tests with the row tests read from the finished marts."""
     return quality.mart_report(x.marts, AS_OF)
 
 

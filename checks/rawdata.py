@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.raw_sql import RAW_CUSTOMERS, RAW_LINES, RAW_ORDER_HEADS, RAW_PRODUCTS
-from lumbung.plans import customers, line_items, products, sales, staging
+from lumbung.operators.watch import Watch
+from lumbung.plans import customers, daily_run, line_items, products, sales, staging
 from lumbung.session import prepare, size_shuffles
 from lumbung.sources.landing import stored_bytes
 from lumbung.sources.tables import settle
@@ -144,7 +145,13 @@ class Layers:
     """
 
     document_items = DOCUMENT_ITEMS
+    # Properties of this class by the tables that they write.
+    tables = {
+        "dim_customers": "dim_customers", "dim_products": "dim_products", "fact_order_items": "fact",
+        "fct_daily_sales": "daily", "line_items": "line_items",
+    }
     _written: dict[tuple[str, str, int, str], str] = {}
+    _watched: dict[tuple[str, str, int, str], Watch] = {}
     _sizes: dict[tuple[str, str], int] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -163,10 +170,19 @@ class Layers:
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, self.document_items, name)
         if key not in self._written:
-            table = settle(build(), name)
+            watch = daily_run.mart_watches(AS_OF).get(name)
+            table = settle(build(), name, watch=watch)
+            if watch:
+                self._watched[key] = watch
             self._written[key] = table.inputFiles()[0].rsplit("/", 1)[0]
         return self.spark.read.parquet(self._written[key])
 
+    def watches(self, *names: str) -> dict[str, Watch]:
+        """What was counted while these tables were written."""
+        for name in names:
+            getattr(self, self.tables[name])
+        return {name: self._watched[self.spark.sparkContext.applicationId, self.folder, self.document_items, name] for name in names}
+
     @property
     def raw_customers(self) -> DataFrame:
         return raw_customers(self.spark, self.folder)

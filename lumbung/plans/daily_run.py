@@ -11,6 +11,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from lumbung.constants import CUSTOMER_EXPORT, ORDER_COLLECTION, PRODUCT_EXPORT
+from lumbung.operators.watch import Watch
 from lumbung.plans import customers, line_items, products, quality, reports, sales, staging
 from lumbung.session import prepare, size_shuffles
 from lumbung.sources import exports, landing
@@ -18,6 +19,8 @@ from lumbung.sources.tables import publish, refresh, remove, run_folder, settle,
 
 PUBLISHED = "published"
 STEPS = "steps"
+LAYER = "line_items"
+RAW = ("customers", "products", "orders")
 SKIPPED = "skipped"
 
 
@@ -27,13 +30,22 @@ class Outcome:
     run_id: str | None = None
 
 
-def build_marts(raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+def mart_watches(as_of: date) -> dict[str, Watch]:
+    """What the run counts while it writes: the row tests of the marts, and revenue for the reconciliation."""
+    watches = quality.row_watches(quality.row_tests(as_of))
+    watches["fact_order_items"].metrics |= reports.fact_sums()
+    return watches | {LAYER: Watch(reports.line_sums())}
+
+
+def build_marts(raw: Mapping[str, DataFrame], folder: str, watches: Mapping[str, Watch] | None = None) -> dict[str, DataFrame]:
     """Raw tables to four mart tables below ``folder``.
 
     Clean customers, clean products and line items are written once each, below
     ``folder``/steps, because several marts read them; every mart then reads only
-    the columns it needs. Each mart is handed back as read from its table.
+    the columns it needs. Each mart is handed back as read from its table. ``watches``
+    go along with the writes of the tables they are named after.
     """
+    watching = (watches or {}).get
     spark = raw["orders"].sparkSession
     steps = f"{folder}/{STEPS}"
     clean = together(
@@ -44,28 +56,34 @@ def build_marts(raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFram
         },
     )
     clean_orders = staging.stg_orders(raw["orders"])
-    layer = settle(line_items.line_item_layer(clean_orders, clean["products"], clean["customers"]), "line_items", steps)
+    lines = line_items.line_item_layer(clean_orders, clean["products"], clean["customers"])
+    layer = settle(lines, LAYER, steps, watching(LAYER))
     metrics = customers.int_customer_metrics(layer)
     sold = products.product_sales_metrics(layer)
     return together(
         spark,
         {
             "dim_customers": lambda: refresh(
-                customers.dim_customers(clean["customers"], metrics), f"{folder}/dim_customers"
+                customers.dim_customers(clean["customers"], metrics), f"{folder}/dim_customers", watch=watching("dim_customers")
+            ),
+            "dim_products": lambda: refresh(
+                products.dim_products(clean["products"], sold), f"{folder}/dim_products", watch=watching("dim_products")
             ),
-            "dim_products": lambda: refresh(products.dim_products(clean["products"], sold), f"{folder}/dim_products"),
             # Sorted by date over files, a hot day by order: reads of some days skip the other files.
             "fact_order_items": lambda: refresh(
-                sales.fact_order_items(layer), f"{folder}/fact_order_items", "order_date", "order_id"
+                sales.fact_order_items(layer), f"{folder}/fact_order_items", "order_date", "order_id",
+                watch=watching("fact_order_items"),
             ),
             "fct_daily_sales": lambda: refresh(
-                sales.fct_daily_sales(layer), f"{folder}/fct_daily_sales", "order_date"
+                sales.fct_daily_sales(layer), f"{folder}/fct_daily_sales", "order_date", watch=watching("fct_daily_sales")
             ),
         },
     )
 
 
-def load_raw(spark: SparkSession, landing_root: str, folder: str, loaded_at: datetime) -> dict[str, DataFrame] | None:
+def load_raw(
+    spark: SparkSession, landing_root: str, folder: str, loaded_at: datetime, watches: Mapping[str, Watch] | None = None
+) -> dict[str, DataFrame] | None:
     """Newest exports and all order documents into raw tables below ``folder``.
 
     Every run has a folder of its own, so a load that fails half-way leaves
@@ -83,7 +101,11 @@ def load_raw(spark: SparkSession, landing_root: str, folder: str, loaded_at: dat
         "orders": exports.read_orders(spark, f"{landing_root}/{ORDER_COLLECTION}", loaded_at),
     }
     return together(
-        spark, {name: partial(refresh, frame, f"{folder}/raw/{name}") for name, frame in read.items()}
+        spark,
+        {
+            name: partial(refresh, frame, f"{folder}/raw/{name}", watch=(watches or {}).get(name))
+            for name, frame in read.items()
+        },
     )
 
 
@@ -91,20 +113,25 @@ def run(spark: SparkSession, landing_root: str, warehouse: str, as_of: date, loa
     """One full refresh. Marts become visible only after all data tests have passed.
 
     Below the run's folder lie its raw tables, the validator's warnings about
-    documents (``document_warnings``), the marts, the test outcomes (``dq_report``)
-    and a summary (``run_summary``). If tests fail, ``violations`` has the rows.
-    Intermediate tables go after publication.
+    documents (``document_warnings``), the marts, the test outcomes (``dq_report``),
+    the reconciliation of revenue (``reconciliation``) and a summary
+    (``run_summary``). If tests fail, ``violations`` has the rows. Rows are counted
+    and revenue is summed by the jobs that write the tables. Intermediate tables go
+    after publication.
     """
     prepare(spark)
     run_id = f"{loaded_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     folder = run_folder(warehouse, run_id)
-    raw = load_raw(spark, landing_root, folder, loaded_at)
+    counted, watched = quality.raw_watches(RAW), mart_watches(as_of)
+    raw = load_raw(spark, landing_root, folder, loaded_at, counted)
     if raw is None:
         return Outcome(SKIPPED)
-    quality.require_passed(quality.raw_counts(raw))
+    quality.require_passed(quality.written_raw_counts(spark, counted))
     refresh(quality.document_violations(raw["orders"]), f"{folder}/document_warnings")
-    marts = build_marts(raw, folder)
-    report = refresh(quality.mart_report(marts, as_of), f"{folder}/dq_report")
+    marts = build_marts(raw, folder, watched)
+    lines = watched.pop(LAYER)
+    refresh(reports.written_reconciliation(spark, lines, watched["fact_order_items"]), f"{folder}/reconciliation")
+    report = refresh(quality.mart_report(marts, as_of, watched), f"{folder}/dq_report")
     quality.write_violations(marts, report, as_of, f"{folder}/violations")
     quality.require_passed(report)
     summary = reports.run_summary(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from lumbung.functions.amounts import as_money, count_where, percent_or_zero, su
 from lumbung.functions.keys import dashed_md5
 from lumbung.functions.text import contains_ignoring_case
 from lumbung.operators.shares import with_share
+from lumbung.operators.watch import Watch
+from lumbung.schemas import MONEY_SUM
 
 PRODUCT_SORTS = {
     "revenue": "total_revenue_generated_idr",
@@ -252,22 +254,44 @@ def category_share(daily: DataFrame) -> DataFrame:
     return with_share(groups, "revenue", "percentage").orderBy(F.col("revenue").desc_nulls_last())
 
 
-def revenue_reconciliation(layer: DataFrame, fact: DataFrame) -> DataFrame:
-    """No revenue gets lost between the lines, the fact and its two customer sides."""
+def line_sums() -> dict[str, Column]:
+    """What the reconciliation asks about the lines."""
+    return {"line_revenue": F.sum("gross_revenue_idr")}
+
+
+def fact_sums() -> dict[str, Column]:
+    """What it asks about the fact."""
     registered = F.col("is_registered_customer")
-    sides = fact.agg(
-        F.sum("gross_revenue_idr").alias("fact_revenue"),
-        F.sum(F.when(registered, F.col("gross_revenue_idr"))).alias("registered_revenue"),
-        F.sum(F.when(~registered, F.col("gross_revenue_idr"))).alias("guest_revenue"),
-    )
-    lines = layer.agg(F.sum("gross_revenue_idr").alias("revenue")).scalar()
+    return {
+        "fact_revenue": F.sum("gross_revenue_idr"),
+        "registered_revenue": F.sum(F.when(registered, F.col("gross_revenue_idr"))),
+        "guest_revenue": F.sum(F.when(~registered, F.col("gross_revenue_idr"))),
+    }
+
+
+def reconciled(sums: DataFrame) -> DataFrame:
     zero = as_money(F.lit(0))
     parts = F.coalesce("registered_revenue", zero) + F.coalesce("guest_revenue", zero)
-    return sides.withColumn("line_revenue", lines).withColumn(
+    return sums.withColumn(
         "is_reconciled", (F.col("line_revenue") == F.col("fact_revenue")) & (F.col("fact_revenue") == parts)
     )
 
 
+def revenue_reconciliation(layer: DataFrame, fact: DataFrame) -> DataFrame:
+    """No revenue gets lost between the lines, the fact and its two customer sides."""
+    sides = fact.agg(*[total.alias(name) for name, total in fact_sums().items()])
+    lines = layer.agg(*[total.alias(name) for name, total in line_sums().items()])
+    return reconciled(sides.withColumn("line_revenue", lines.scalar()))
+
+
+def written_reconciliation(spark: SparkSession, lines: Watch, fact: Watch) -> DataFrame:
+    """The same from what was summed while both tables were written; neither is read."""
+    found = fact.values | lines.values
+    names = [*fact_sums(), *line_sums()]
+    schema = ", ".join(f"{name} {MONEY_SUM}" for name in names)
+    return reconciled(spark.createDataFrame([tuple(found.get(name) for name in names)], schema))
+
+
 def run_metadata(report: DataFrame, generated_at: datetime) -> DataFrame:
     """What the data tests said, from the report that the run has stored."""
     tests = report.agg(

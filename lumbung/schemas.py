@@ -4,6 +4,8 @@ from pyspark.sql import types as T
 
 # Amounts of a single row. Eighteen digits stay in a machine word inside Spark and Parquet.
 MONEY = T.DecimalType(18, 4)
+# Sums of them, as text for schemas of single rows.
+MONEY_SUM = "decimal(28,4)"
 # What is written, before it is checked to fit; further digits than these cannot be told apart.
 AS_WRITTEN = T.DecimalType(38, 18)
 # Operands of a ratio of sums; leaves Spark fourteen digits after the point in the quotient.

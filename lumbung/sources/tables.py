@@ -10,11 +10,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.operators.watch import Watch
 from lumbung.session import fresh_folder
 
 
-def refresh(frame: DataFrame, path: str, *order_by: str) -> DataFrame:
-    """Replace the table at ``path`` and read it back.
+def refresh(frame: DataFrame, path: str, *order_by: str, watch: Watch | None = None) -> DataFrame:
+    """Replace the table at ``path`` and read it back; ``watch`` has its aggregates afterwards.
 
     ``order_by`` sorts the rows by range over files, so that later filters on
     the first column skip files and row groups by their statistics; further
@@ -23,7 +24,7 @@ def refresh(frame: DataFrame, path: str, *order_by: str) -> DataFrame:
     """
     if order_by:
         frame = frame.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    frame.write.mode("overwrite").parquet(path)
+    (watch.on(frame) if watch else frame).write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -34,12 +35,12 @@ def together(spark: SparkSession, jobs: Mapping[str, Callable[[], DataFrame]]) -
         return {name: job.result() for name, job in running.items()}
 
 
-def settle(frame: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+def settle(frame: DataFrame, label: str, folder: str | None = None, watch: Watch | None = None) -> DataFrame:
     """Write an intermediate result once and continue from there: below ``folder``, or in the shared folder.
 
     Several consumers then share the work, and a lost executor costs a re-read, not a recomputation.
     """
-    return refresh(frame, f"{folder}/{label}" if folder else fresh_folder(frame.sparkSession, label))
+    return refresh(frame, f"{folder}/{label}" if folder else fresh_folder(frame.sparkSession, label), watch=watch)
 
 
 def remove(spark: SparkSession, path: str) -> None:

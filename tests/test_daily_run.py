@@ -153,6 +153,7 @@ def test_a_run_keeps_its_raw_tables_warnings_and_summary(spark, shop, tmp_path):
     folder = tmp_path / "warehouse" / "runs" / outcome.run_id
     assert {p.name for p in folder.iterdir()} == {
         "raw", "document_warnings", "dim_customers", "dim_products", "fact_order_items", "fct_daily_sales", "dq_report", "run_summary",
+        "reconciliation",
     }  # no steps, no violations
     assert spark.read.parquet(str(folder / "run_summary")).first().total_order_items == 1
     assert spark.read.parquet(str(folder / "document_warnings")).count() == 12
