@@ -74,9 +74,9 @@ def main() -> None:
     # late-night orders fall before the earliest accepted date, and the gate then rightly stops the run.
     warehouse = fresh_folder(spark, "warehouse")
     run: dict[str, dict] = {}
-    counted, watched = quality.raw_watches(daily_run.RAW), daily_run.mart_watches(AS_OF)
+    counted, watched = quality.raw_watches(*daily_run.RAW), daily_run.mart_watches(AS_OF)
     timed("run_extract_load", lambda: run.update(raw=daily_run.load_raw(spark, root, warehouse, LOADED_AT, counted)))
-    timed("run_raw_gate", lambda: quality.require_passed(quality.written_raw_counts(spark, counted)))
+    timed("run_raw_gate", lambda: quality.require_passed(quality.load_report(spark, counted)))
     timed("run_models", lambda: run.update(marts=daily_run.build_marts(run["raw"], f"{warehouse}/marts", watched)))
     lines = watched.pop(daily_run.LAYER)
     timed("run_reconciliation", through(lambda: reports.written_reconciliation(spark, lines, watched["fact_order_items"])))

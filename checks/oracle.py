@@ -257,6 +257,26 @@ expect(
         union all select 'raw.orders', count(*) from raw_heads""",
     "raw_customers", "raw_products", "raw_heads",
 )
+expect(
+    "ingest_ragged_rows",
+    f"""select customer_id, full_name, email, city, signup_date, segment,
+               case when n % 7 <> 0 then phone end as phone, case when n % 7 <> 0 then gender end as gender,
+               case when n % 7 = 0 then 'short' when n % 11 = 0 then 'long' end as _row_shape
+        from (select *, cast(substr(customer_id, 5) as bigint) as n from raw_customers where {LANDED})""",
+    "raw_customers",
+)
+expect(
+    "landing_empty_newest",
+    """select 'customers' as dataset, 'customers_20261202.csv' as export_name, false as is_valid
+       union all select 'products', max(_source_file), count(*) > 0 from raw_products""",
+    "raw_products",
+)
+expect(
+    "run_retention",
+    """select run_id, count(*) as n_rows, run_id = 'run-5' as is_current
+       from daily, (values ('run-4'), ('run-5')) runs(run_id) group by run_id""",
+    "daily",
+)
 for key, extra in (("landing_latest_file", ""), ("landing_file_validity", ", count(*) > 0 as is_valid")):
     expect(
         key,

@@ -62,8 +62,7 @@ def land(layers: Layers) -> str:
 
 
 def newest_names(layers: Layers, root: str) -> DataFrame:
-    found = [landing.list_exports(layers.spark, f"{root}/{d}", d) for d in (C.CUSTOMER_EXPORT, C.PRODUCT_EXPORT)]
-    return landing.newest_exports(found[0].unionByName(found[1]))
+    return landing.newest_exports(layers.spark, {d: f"{root}/{d}" for d in (C.CUSTOMER_EXPORT, C.PRODUCT_EXPORT)})
 
 
 def read_landed(layers: Layers) -> dict[str, DataFrame]:
@@ -81,12 +80,52 @@ def read_landed(layers: Layers) -> dict[str, DataFrame]:
 
 @query
 def ingest_customers_csv(x: Layers) -> DataFrame:
-    return read_landed(x)["customers"]
+    return read_landed(x)["customers"].drop(exports.ROW_SHAPE)
 
 
 @query
 def ingest_products_csv(x: Layers) -> DataFrame:
-    return read_landed(x)["products"]
+    return read_landed(x)["products"].drop(exports.ROW_SHAPE)
+
+
+@query
+def ingest_ragged_rows(x: Layers) -> DataFrame:
+    """Customers as an export in which every seventh row lacks its last two values and every eleventh has one more."""
+    root = fresh_folder(x.spark, "ragged")
+    number = F.substring("customer_id", 5, 20).cast("long")
+    quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in map(F.col, C.CUSTOMER_FIELDS)]
+    line = F.when(number % 7 == 0, F.concat_ws(",", *quoted[:-2])).when(number % 11 == 0, F.concat_ws(",", *quoted, F.lit("more")))
+    lines = x.raw_customers.filter("_source_file = 'customers_20261201.csv'").select(line.otherwise(F.concat_ws(",", *quoted)).alias("value"))
+    header = x.spark.createDataFrame([(0, ",".join(C.CUSTOMER_FIELDS))], "place int, value string")
+    parts = header.crossJoin(F.broadcast(x.spark.range(2).withColumnRenamed("id", "part")))
+    dealt = lines.select(F.lit(1).alias("place"), "value", F.pmod(F.xxhash64("value"), F.lit(2)).alias("part"))
+    whole = parts.unionByName(dealt).repartition(2, "part").sortWithinPartitions("part", "place")
+    whole.select("part", "value").write.partitionBy("part").text(f"{root}/written")
+    read = [exports.read_customers(x.spark, f"{root}/written", f"part={part}", LOADED_AT) for part in (0, 1)]
+    return quality.stack(read).select(*C.CUSTOMER_FIELDS, exports.ROW_SHAPE)
+
+
+@query
+def landing_empty_newest(x: Layers) -> DataFrame:
+    """A day later the customers' export is there without a byte."""
+    root = land(x)
+    x.spark.range(1).select(F.lit("").alias("value")).limit(0).write.text(f"{root}/{C.CUSTOMER_EXPORT}/customers_20261202.csv")
+    return newest_names(x, root)
+
+
+@query
+def run_retention(x: Layers) -> DataFrame:
+    """Four published runs and a failed one, of which the two newest published ones stay."""
+    warehouse = fresh_folder(x.spark, "warehouse")
+    for day in (1, 2, 3, 4, 5):
+        tables.refresh(x.daily, f"{tables.run_folder(warehouse, f'run-{day}')}/fct_daily_sales")
+        log = tables.log_failure if day == 2 else tables.publish
+        log(x.spark, warehouse, f"run-{day}", f"2026-12-0{day}T00:00:00")
+    gone = tables.retire(x.spark, warehouse, 2)
+    left = [f"run-{day}" for day in (1, 2, 3, 4, 5) if f"run-{day}" not in gone]
+    read = [x.spark.read.parquet(f"{tables.run_folder(warehouse, run)}/fct_daily_sales").withColumn("run_id", F.lit(run)) for run in left]
+    is_current = F.col("run_id") == tables.current_run(x.spark, warehouse)
+    return quality.stack(read).groupBy("run_id").agg(F.count("*").alias("n_rows")).withColumn("is_current", is_current)
 
 
 @query

@@ -15,12 +15,12 @@ from lumbung.operators.watch import Watch
 from lumbung.plans import customers, line_items, products, quality, reports, sales, staging
 from lumbung.session import prepare, size_shuffles
 from lumbung.sources import exports, landing
-from lumbung.sources.tables import publish, refresh, remove, run_folder, settle, together
+from lumbung.sources.tables import log_failure, publish, refresh, remove, retire, run_folder, settle, together
 
 PUBLISHED = "published"
 STEPS = "steps"
 LAYER = "line_items"
-RAW = ("customers", "products", "orders")
+RAW = (("customers", "products"), ("orders",))
 SKIPPED = "skipped"
 
 
@@ -82,22 +82,26 @@ def build_marts(raw: Mapping[str, DataFrame], folder: str, watches: Mapping[str,
 
 
 def load_raw(
-    spark: SparkSession, landing_root: str, folder: str, loaded_at: datetime, watches: Mapping[str, Watch] | None = None
+    spark: SparkSession,
+    landing_root: str,
+    folder: str,
+    loaded_at: datetime,
+    watches: Mapping[str, Watch] | None = None,
+    multiline: bool = True,
 ) -> dict[str, DataFrame] | None:
     """Newest exports and all order documents into raw tables below ``folder``.
 
     Every run has a folder of its own, so a load that fails half-way leaves
     those of earlier runs as they are. None when an export is missing or empty: there is nothing to run on.
     """
-    listings = [landing.list_exports(spark, f"{landing_root}/{d}", d) for d in (CUSTOMER_EXPORT, PRODUCT_EXPORT)]
-    newest = {r["dataset"]: r for r in landing.newest_exports(listings[0].unionByName(listings[1])).collect()}
-    if len(newest) < 2 or not all(r["is_valid"] for r in newest.values()):
+    newest = [landing.newest_export(spark, f"{landing_root}/{d}", d) for d in (CUSTOMER_EXPORT, PRODUCT_EXPORT)]
+    if not all(export and export[1] for export in newest):
         return None
     size_shuffles(spark, landing.stored_bytes(spark, f"{landing_root}/{ORDER_COLLECTION}"))
-    customers_name, products_name = newest[CUSTOMER_EXPORT]["export_name"], newest[PRODUCT_EXPORT]["export_name"]
+    (customers_name, _), (products_name, _) = newest
     read = {
-        "customers": exports.read_customers(spark, f"{landing_root}/{CUSTOMER_EXPORT}", customers_name, loaded_at),
-        "products": exports.read_products(spark, f"{landing_root}/{PRODUCT_EXPORT}", products_name, loaded_at),
+        "customers": exports.read_customers(spark, f"{landing_root}/{CUSTOMER_EXPORT}", customers_name, loaded_at, multiline),
+        "products": exports.read_products(spark, f"{landing_root}/{PRODUCT_EXPORT}", products_name, loaded_at, multiline),
         "orders": exports.read_orders(spark, f"{landing_root}/{ORDER_COLLECTION}", loaded_at),
     }
     return together(
@@ -109,11 +113,24 @@ def load_raw(
     )
 
 
-def run(spark: SparkSession, landing_root: str, warehouse: str, as_of: date, loaded_at: datetime) -> Outcome:
+def run(
+    spark: SparkSession,
+    landing_root: str,
+    warehouse: str,
+    as_of: date,
+    loaded_at: datetime,
+    multiline: bool = True,
+    keep_runs: int | None = None,
+) -> Outcome:
     """One full refresh. Marts become visible only after all data tests have passed.
 
-    Below the run's folder lie its raw tables, the validator's warnings about
-    documents (``document_warnings``), the marts, the test outcomes (``dq_report``),
+    Without ``multiline`` exports are read in splits, for files without line breaks
+    inside quotes. With ``keep_runs`` so many published runs stay, this one
+    included, and older ones are removed after publication.
+
+    Below the run's folder lie its raw tables, the counts of the load
+    (``load_report``), the validator's warnings about documents
+    (``document_warnings``), the marts, the test outcomes (``dq_report``),
     the reconciliation of revenue (``reconciliation``) and a summary
     (``run_summary``). If tests fail, ``violations`` has the rows. Rows are counted
     and revenue is summed by the jobs that write the tables. Intermediate tables go
@@ -122,22 +139,34 @@ def run(spark: SparkSession, landing_root: str, warehouse: str, as_of: date, loa
     prepare(spark)
     run_id = f"{loaded_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     folder = run_folder(warehouse, run_id)
-    counted, watched = quality.raw_watches(RAW), mart_watches(as_of)
-    raw = load_raw(spark, landing_root, folder, loaded_at, counted)
+    counted, watched = quality.raw_watches(*RAW), mart_watches(as_of)
+    raw = load_raw(spark, landing_root, folder, loaded_at, counted, multiline)
     if raw is None:
         return Outcome(SKIPPED)
-    quality.require_passed(quality.written_raw_counts(spark, counted))
+    loaded = refresh(quality.load_report(spark, counted), f"{folder}/load_report")
+    stop_if_failed(spark, warehouse, run_id, loaded, loaded_at)
     refresh(quality.document_violations(raw["orders"]), f"{folder}/document_warnings")
     marts = build_marts(raw, folder, watched)
     lines = watched.pop(LAYER)
     refresh(reports.written_reconciliation(spark, lines, watched["fact_order_items"]), f"{folder}/reconciliation")
     report = refresh(quality.mart_report(marts, as_of, watched), f"{folder}/dq_report")
     quality.write_violations(marts, report, as_of, f"{folder}/violations")
-    quality.require_passed(report)
+    stop_if_failed(spark, warehouse, run_id, report, loaded_at)
     summary = reports.run_summary(
         marts["dim_customers"], marts["dim_products"], marts["fact_order_items"], marts["fct_daily_sales"]
     )
     refresh(summary, f"{folder}/run_summary")
     publish(spark, warehouse, run_id, loaded_at.isoformat())
     remove(spark, f"{folder}/{STEPS}")
+    if keep_runs:
+        retire(spark, warehouse, keep_runs)
     return Outcome(PUBLISHED, run_id)
+
+
+def stop_if_failed(spark: SparkSession, warehouse: str, run_id: str, report: DataFrame, loaded_at: datetime) -> None:
+    """End a run whose report has failures; the log of failures lets a later run remove its folder."""
+    try:
+        quality.require_passed(report)
+    except quality.QualityGateError:
+        log_failure(spark, warehouse, run_id, loaded_at.isoformat())
+        raise

@@ -16,6 +16,7 @@ from lumbung.functions.text import has_email_format
 from lumbung.operators.watch import Watch
 from lumbung.plans.staging import VERSION
 from lumbung.schemas import ITEM_TEXT
+from lumbung.sources.exports import ROW_SHAPE
 
 
 OUTCOME = "check string, target string, failures long"
@@ -209,15 +210,25 @@ def require_passed(report: DataFrame) -> None:
         raise QualityGateError(listed)
 
 
-def raw_watches(names: Iterable[str]) -> dict[str, Watch]:
-    return {name: Watch({"rows": F.count(F.lit(1))}) for name in names}
+def raw_watches(exports: Iterable[str], documents: Iterable[str]) -> dict[str, Watch]:
+    """What a load counts while it writes the raw tables: rows, and rows of exports with too few or too many values."""
+    rows = {"rows": F.count(F.lit(1))}
+    ragged = {f"{shape}_rows": count_where(F.col(ROW_SHAPE) == shape) for shape in ("short", "long")}
+    return {name: Watch(rows | ragged) for name in exports} | {name: Watch(rows) for name in documents}
 
 
-def written_raw_counts(spark: SparkSession, watches: Mapping[str, Watch]) -> DataFrame:
-    """``raw_counts`` from what was counted while the raw tables were written."""
-    rows = [("non_empty", f"raw.{name}", watch.values.get("rows", 0)) for name, watch in watches.items()]
-    counted = spark.createDataFrame(rows, "check string, target string, rows long")
-    return counted.withColumn("failures", (F.col("rows") == 0).cast("long")).withColumn("passed", F.col("failures") == 0)
+def load_report(spark: SparkSession, watches: Mapping[str, Watch]) -> DataFrame:
+    """``raw_counts`` from what was counted while the raw tables were written.
+
+    Rows of the wrong length are loaded; they are reported with their number and don't stop a run.
+    """
+    outcomes = []
+    for name, watch in watches.items():
+        found = watch.values
+        rows = found.get("rows", 0)
+        outcomes.append(("non_empty", f"raw.{name}", rows, int(rows == 0), rows > 0))
+        outcomes += [(m, f"raw.{name}", rows, found.get(m, 0), True) for m in watch.metrics if m != "rows"]
+    return spark.createDataFrame(outcomes, "check string, target string, rows long, failures long, passed boolean")
 
 
 def raw_counts(raw: Mapping[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,9 @@ from lumbung.constants import CUSTOMER_FIELDS, ORDER_FIELDS, PART_FIELDS, PRODUC
 from lumbung.operators.unnest import part_column
 from lumbung.schemas import ORDER_DOCUMENT
 
+# Where Spark puts the text of a row whose number of values is wrong, and what that row is then called.
+RECORD, ROW_SHAPE = "_record", "_row_shape"
+
 
 def read_csv_export(
     spark: SparkSession,
@@ -24,28 +27,37 @@ def read_csv_export(
 ) -> DataFrame:
     """Rows of one export as text, matched to ``fields`` by header name.
 
-    Empty values stay empty text; a field the file lacks is NULL. A row with too
-    few or too many values, and a part file whose header differs from the
-    others', stop the read. Without ``multiline`` a file can be split over tasks,
-    but a line break inside quotes stops the read too.
+    Empty values stay empty text. A field that the file lacks is NULL, and so are
+    the fields at the end of a row that is too short; values beyond the header are
+    left out. Such rows say ``short`` or ``long`` in ``_row_shape``, which is NULL
+    for all others, so that a load can count them. A part file whose header
+    differs from the others' stops the read. Without ``multiline`` a file can be
+    split over tasks; a row with a line break inside quotes then comes as two short
+    rows.
     """
-    rows = (
-        spark.read.option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", "false")
-        .option("columnPruning", "false")
-        .option("multiLine", str(multiline).lower())
-        .csv(f"{folder.rstrip('/')}/{export_name}")
-    )
-    present = set(rows.columns)
-    return rows.na.fill("").select(
-        *[F.col(f) if f in present else F.lit(None).cast("string").alias(f) for f in fields],
-        F.lit(export_name).alias("_source_file"),
-        F.lit(loaded_at).cast("timestamp").alias("_loaded_at"),
-    )
+    path = f"{folder.rstrip('/')}/{export_name}"
+    reader = spark.read.options(
+        header="true", quote='"', escape='"', encoding="UTF-8", enforceSchema="false", columnPruning="false",
+        multiLine=str(multiline).lower(), mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD,
+    )
+    header = reader.csv(path).columns  # looks at the first line only
+    provenance = [F.lit(export_name).alias("_source_file"), F.lit(loaded_at).cast("timestamp").alias("_loaded_at")]
+    if not header:
+        nothing = spark.createDataFrame([], ", ".join(f"{f} string" for f in (*fields, ROW_SHAPE)))
+        return nothing.select(*fields, *provenance, ROW_SHAPE)
+    rows = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in (*header, RECORD)])).csv(path)
+    # Spark hands over the record itself where its number of values is not that of the header.
+    unquoted = F.regexp_replace(RECORD, r'"(?:[^"]|"")*"', "")
+    values = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    shape = F.when(F.col(RECORD).isNull(), F.lit(None)).when(values < len(header), "short").otherwise("long")
+
+    def value(field: str) -> Column:
+        if field not in header:
+            return F.lit(None).cast("string").alias(field)
+        missing = F.col(RECORD).isNotNull() & (values <= header.index(field))
+        return F.when(missing, F.lit(None)).otherwise(F.coalesce(F.col(f"`{field}`"), F.lit(""))).alias(field)
+
+    return rows.select(*map(value, fields), *provenance, shape.alias(ROW_SHAPE))
 
 
 def read_customers(

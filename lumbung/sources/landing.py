@@ -6,36 +6,48 @@ An export is one file, or a folder of part files under the same name.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LISTING = "dataset string, export_name string"
+NEWEST = "dataset string, export_name string, is_valid boolean"
 
 
-def list_exports(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
-    """One row per export with its size in bytes; file contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    pattern = rf"({dataset}_[^/]*\.csv)(?:/|$)"
-    try:
-        found = files.load(folder)
-        paths = found.inputFiles()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LISTING + ", bytes long")
-    # Spark's readers skip empty files, so names come from the file index and sizes from the reader.
-    names = sorted({m.group(1) for p in paths if (m := re.search(pattern, p))})
-    exports = spark.createDataFrame([(dataset, n) for n in names], LISTING)
-    sizes = (
-        found.select(F.regexp_extract("path", pattern, 1).alias("export_name"), "length")
-        .groupBy("export_name")
-        .agg(F.sum("length").alias("length"))
-    )
-    return exports.join(sizes, "export_name", "left").select(
-        "dataset", "export_name", F.coalesce("length", F.lit(0)).alias("bytes")
-    )
+def newest_export(spark: SparkSession, folder: str, dataset: str) -> tuple[str, bool] | None:
+    """Name of the newest export and whether it holds any data; None without an export.
+
+    The names in the folder are gone through one by one, so that any number of old exports needs no memory; what
+    lies inside an export is only looked at for the newest one, and only until a file with data turns up.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(top):
+        return None
+    newest, found = "", files.listStatusIterator(top)
+    while found.hasNext():
+        name = found.next().getPath().getName()
+        if name > newest and re.fullmatch(rf"{dataset}_.*\.csv", name):
+            newest = name
+    return (newest, any_data(spark, f"{folder}/{newest}")) if newest else None
+
+
+def any_data(spark: SparkSession, path: str) -> bool:
+    """Whether any file at or below the path that Spark's readers would look at has a byte."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
+    while found.hasNext():
+        file = found.next()
+        if file.getLen() > 0 and not file.getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def newest_exports(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+    """One row per dataset that has an export."""
+    found = {dataset: newest_export(spark, folder, dataset) for dataset, folder in folders.items()}
+    return spark.createDataFrame([(dataset, *newest) for dataset, newest in found.items() if newest], NEWEST)
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
@@ -47,12 +59,3 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
             raise
         return 0
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
-def newest_exports(listing: DataFrame) -> DataFrame:
-    """The newest export of each dataset by name, and whether it holds any data."""
-    return (
-        listing.groupBy("dataset")
-        .agg(F.max(F.struct("export_name", "bytes")).alias("newest"))
-        .select("dataset", "newest.export_name", (F.col("newest.bytes") > 0).alias("is_valid"))
-    )

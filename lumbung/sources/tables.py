@@ -49,24 +49,69 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def publish(spark: SparkSession, warehouse: str, run_id: str, finished_at: str) -> None:
-    """Make a finished run the current one by adding one row to the publication log."""
+PUBLICATIONS, FAILURES = "publications", "failures"
+
+
+def add_to_log(spark: SparkSession, log: str, run_id: str, finished_at: str) -> None:
     entry = spark.range(1).select(
         F.lit(run_id).alias("run_id"), F.lit(finished_at).cast("timestamp").alias("finished_at")
     )
-    entry.write.mode("append").parquet(f"{warehouse}/publications")
+    entry.write.mode("append").parquet(log)
 
 
-def current_run(spark: SparkSession, warehouse: str) -> str | None:
+def read_log(spark: SparkSession, log: str) -> DataFrame:
     try:
-        log = spark.read.schema("run_id string, finished_at timestamp").parquet(f"{warehouse}/publications")
+        return spark.read.schema("run_id string, finished_at timestamp").parquet(log)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
+        return spark.createDataFrame([], "run_id string, finished_at timestamp")
+
+
+def publish(spark: SparkSession, warehouse: str, run_id: str, finished_at: str) -> None:
+    """Make a finished run the current one by adding one row to the publication log."""
+    add_to_log(spark, f"{warehouse}/{PUBLICATIONS}", run_id, finished_at)
+
+
+def log_failure(spark: SparkSession, warehouse: str, run_id: str, finished_at: str) -> None:
+    """Note that a run has ended without publication."""
+    add_to_log(spark, f"{warehouse}/{FAILURES}", run_id, finished_at)
+
+
+def current_run(spark: SparkSession, warehouse: str) -> str | None:
+    log = read_log(spark, f"{warehouse}/{PUBLICATIONS}")
     return log.agg(F.max_by("run_id", F.struct("finished_at", "run_id"))).first()[0]
 
 
+def superseded(spark: SparkSession, warehouse: str, keep: int) -> list[str]:
+    """Ended runs older than the ``keep`` newest published ones, out of those whose folders are still there.
+
+    A run that is in neither log is still being written, and stays. So does a failed run that is newer than the
+    oldest published one that stays. Folders and logs have one entry per run.
+    """
+    if keep < 1:
+        raise ValueError("the current run has to stay")
+    newest_first = F.struct("finished_at", "run_id")
+    published = read_log(spark, f"{warehouse}/{PUBLICATIONS}").orderBy(newest_first.desc()).limit(keep).collect()
+    if len(published) < keep:
+        return []
+    oldest = published[-1]
+    ended = [read_log(spark, f"{warehouse}/{log}") for log in (PUBLICATIONS, FAILURES)]
+    border = F.struct(F.lit(oldest["finished_at"]).alias("finished_at"), F.lit(oldest["run_id"]).alias("run_id"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse}/runs")
+    there = {f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)}
+    older = ended[0].unionByName(ended[1]).filter(newest_first < border)
+    return sorted(row["run_id"] for row in older.collect() if row["run_id"] in there)
+
+
+def retire(spark: SparkSession, warehouse: str, keep: int) -> list[str]:
+    """Remove the folders of superseded runs; whoever reads the current run is not disturbed."""
+    gone = superseded(spark, warehouse, keep)
+    for run_id in gone:
+        remove(spark, run_folder(warehouse, run_id))
+    return gone
+
+
 def run_folder(warehouse: str, run_id: str) -> str:
     return f"{warehouse}/runs/{run_id}"
 

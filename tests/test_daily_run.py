@@ -1,11 +1,15 @@
 import json
+import os
+import tracemalloc
 from datetime import date, datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from lumbung.plans import daily_run, quality
 from lumbung.sources import exports, landing
-from lumbung.sources.tables import current_run, read_published, refresh
+from lumbung.sources.tables import current_run, log_failure, publish, read_published, refresh, retire, run_folder, superseded
 
 AS_OF = date(2026, 9, 10)
 LOADED_AT = datetime(2026, 9, 4, 6, 0)
@@ -39,10 +43,27 @@ def test_newest_export_is_found_by_name(spark, shop):
     (shop / "customers" / "customers_20260905.csv").mkdir()
     (shop / "customers" / "customers_20260905.csv" / "part-0.csv").write_text(CUSTOMERS)
     (shop / "customers" / "notes.txt").write_text("not an export")
-    listing = landing.list_exports(spark, str(shop / "customers"), "customers")
-    assert {r.export_name for r in listing.collect()} == {f"customers_2026090{d}.csv" for d in (3, 4, 5)}
-    newest = landing.newest_exports(listing).first()
-    assert (newest.export_name, newest.is_valid) == ("customers_20260905.csv", True)
+    folder = str(shop / "customers")
+    assert landing.newest_export(spark, folder, "customers") == ("customers_20260905.csv", True)
+    (shop / "customers" / "customers_20260906.csv").mkdir()
+    (shop / "customers" / "customers_20260906.csv" / "_SUCCESS").write_text("not data")
+    (shop / "customers" / "customers_20260906.csv" / "part-0.csv").write_text("")
+    assert landing.newest_export(spark, folder, "customers") == ("customers_20260906.csv", False)
+    assert landing.newest_export(spark, folder, "products") is None
+    assert landing.newest_exports(spark, {"customers": folder, "products": folder}).count() == 1
+
+
+def test_many_old_exports_need_no_memory(spark, tmp_path):
+    folder = tmp_path / "customers"
+    folder.mkdir()
+    for i in range(10_000):
+        os.close(os.open(folder / f"customers_{19000000 + i}.csv", os.O_CREAT))
+    (folder / "customers_20260904.csv").write_text(CUSTOMERS)
+    tracemalloc.start()
+    assert landing.newest_export(spark, str(folder), "customers") == ("customers_20260904.csv", True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000
 
 
 def test_csv_is_matched_by_header_name_and_keeps_empty_text(spark, shop):
@@ -82,12 +103,50 @@ def read_parts(spark, shop, **options):
 HEADER = "customer_id,full_name,city\n"
 
 
-@pytest.mark.parametrize("bad", ["C1,Budi\n", "C1,Budi,Solo,more\n"])
+RAGGED = {
+    "C1,Budi\n": ("C1", "Budi", None, "short"),
+    "C1\n": ("C1", None, None, "short"),
+    "C1,\n": ("C1", "", None, "short"),
+    '"C,1","Bu ""di"", x"\n': ("C,1", 'Bu "di", x', None, "short"),
+    "C1,Budi,Solo,more\n": ("C1", "Budi", "Solo", "long"),
+    "C1,Budi,,\n": ("C1", "Budi", "", "long"),
+    'C1,,"",""\n': ("C1", "", "", "long"),
+}
+
+
+@pytest.mark.parametrize("text", RAGGED)
 @pytest.mark.parametrize("multiline", [True, False])
-def test_short_and_long_rows_stop_the_read(spark, shop, bad, multiline):
-    part_files(shop, HEADER + "C2,Siti,Solo\n" + bad)
-    with pytest.raises(Exception, match="(?i)malformed"):
-        read_parts(spark, shop, multiline=multiline)
+def test_short_rows_end_in_nulls_and_long_rows_are_cut(spark, shop, text, multiline):
+    part_files(shop, HEADER + "C2,Siti,Solo\n\n" + text + "C3,,\n")
+    found = {r.customer_id: r for r in read_parts(spark, shop, multiline=multiline)}
+    row = found.pop(RAGGED[text][0])
+    assert (row.customer_id, row.full_name, row.city, row._row_shape) == RAGGED[text]
+    assert [(r.full_name, r.city, r._row_shape) for r in found.values()] == [("Siti", "Solo", None), ("", "", None)]
+
+
+def test_files_are_split_without_multiline(spark, shop):
+    part_files(shop, HEADER + "".join(f"C{i},Budi,Solo\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+        fields, folder = ("customer_id", "full_name", "city"), str(shop / "customers")
+        whole, split = (
+            exports.read_csv_export(spark, folder, "customers_20260908.csv", fields, LOADED_AT, multiline) for multiline in (True, False)
+        )
+        assert whole.select(F.spark_partition_id()).distinct().count() == 1
+        assert split.select(F.spark_partition_id()).distinct().count() > 4
+        assert split.exceptAll(whole).count() == 0 and split.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_run_reports_ragged_rows_and_goes_on(spark, shop, tmp_path):
+    (shop / "customers" / "customers_20260909.csv").write_text(CUSTOMERS + "C8,Ani\nC9,Eko,e@mail.com,Solo,2024-01-01,VIP,+62,m,more,more\n")
+    outcome = daily_run.run(spark, str(shop), str(tmp_path / "warehouse"), AS_OF, LOADED_AT, multiline=False)
+    assert outcome.status == daily_run.PUBLISHED
+    found = {(r.check, r.target): (r.rows, r.failures, r.passed) for r in read_published(spark, str(tmp_path / "warehouse"), "load_report").collect()}
+    assert found["short_rows", "raw.customers"] == found["long_rows", "raw.customers"] == (4, 1, True)
+    assert found["short_rows", "raw.products"] == (1, 0, True) and found["non_empty", "raw.orders"] == (1, 0, True)
 
 
 def test_parts_with_another_header_stop_the_read(spark, shop):
@@ -99,8 +158,7 @@ def test_parts_with_another_header_stop_the_read(spark, shop):
 def test_quoted_line_breaks_need_whole_files(spark, shop):
     part_files(shop, HEADER + 'C1,"Bu\ndi",Solo\n')
     assert [tuple(r)[:3] for r in read_parts(spark, shop)] == [("C1", "Bu\ndi", "Solo")]
-    with pytest.raises(Exception, match="(?i)malformed"):
-        read_parts(spark, shop, multiline=False)
+    assert [(r._row_shape, r.city) for r in read_parts(spark, shop, multiline=False)] == [("short", None)] * 2
 
 
 def test_documents_keep_items_as_text(spark, shop):
@@ -153,7 +211,7 @@ def test_a_run_keeps_its_raw_tables_warnings_and_summary(spark, shop, tmp_path):
     folder = tmp_path / "warehouse" / "runs" / outcome.run_id
     assert {p.name for p in folder.iterdir()} == {
         "raw", "document_warnings", "dim_customers", "dim_products", "fact_order_items", "fct_daily_sales", "dq_report", "run_summary",
-        "reconciliation",
+        "reconciliation", "load_report",
     }  # no steps, no violations
     assert spark.read.parquet(str(folder / "run_summary")).first().total_order_items == 1
     assert spark.read.parquet(str(folder / "document_warnings")).count() == 12
@@ -213,3 +271,30 @@ def test_documents_from_another_reader(spark, shop):
     rows = {r.order_id: r for r in exports.raw_orders_from(nested, LOADED_AT, "store").collect()}
     assert json.loads(rows["O1"]["items"]) == [{"product_id": "P1", "qty": 2, "unit_price": 1000.25}]
     assert (rows["O2"]["items"], rows["O1"]._source_system) == ("[]", "store")
+
+
+def test_only_the_newest_runs_stay(spark, shop, tmp_path):
+    warehouse = str(tmp_path / "warehouse")
+    ids = [
+        daily_run.run(spark, str(shop), warehouse, AS_OF, datetime(2026, 9, day), keep_runs=2).run_id for day in (4, 5, 6)
+    ]
+    assert {p.name for p in (tmp_path / "warehouse" / "runs").iterdir()} == set(ids[1:])
+    assert current_run(spark, warehouse) == ids[2]
+
+
+def test_retention_leaves_runs_that_are_read_or_written(spark, tmp_path):
+    warehouse = str(tmp_path)
+    for run_id in ("r1", "r2", "r3", "failed-old", "failed-new", "running"):
+        refresh(spark.range(5), f"{run_folder(warehouse, run_id)}/t")
+    for day, run_id in enumerate(("r1", "r2", "r3"), 1):
+        publish(spark, warehouse, run_id, f"2026-09-0{2 * day}T00:00:00")
+    log_failure(spark, warehouse, "failed-old", "2026-09-03T00:00:00")
+    log_failure(spark, warehouse, "failed-new", "2026-09-05T00:00:00")
+    reading = read_published(spark, warehouse, "t")
+    assert superseded(spark, warehouse, 4) == []
+    assert retire(spark, warehouse, 2) == ["failed-old", "r1"]
+    assert reading.count() == 5 and current_run(spark, warehouse) == "r3"
+    assert {p.name for p in (tmp_path / "runs").iterdir()} == {"r2", "r3", "failed-new", "running"}
+    assert retire(spark, warehouse, 2) == [] and retire(spark, warehouse, 1) == ["failed-new", "r2"]
+    with pytest.raises(ValueError):
+        retire(spark, warehouse, 0)
