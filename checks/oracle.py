@@ -223,6 +223,13 @@ def expect(name: str, select: str, *needs: str) -> None:
 
 NEWEST = "timestamp '2026-12-01 00:00:00'"
 LANDED = f"_loaded_at = {NEWEST}"
+# Eight hexadecimal digits of a checksum of each line, added up.
+CHECKSUM = "cast(coalesce(checksum, 0) as bigint) as items_checksum"
+COUNTED_LINES = """(
+    select l_orderkey, count(*) as n, sum(cast('0x' || substr(md5(concat_ws('|', coalesce(product_id, ''),
+        coalesce(cast(qty as varchar), ''), coalesce(cast(cast(unit_price as decimal(18,4)) as varchar), ''),
+        coalesce(cast(discount as varchar), ''), '')), 1, 8) as bigint)) as checksum
+    from raw_lines group by 1)"""
 expect(
     "ingest_customers_csv",
     f"""select customer_id, full_name, email, city, signup_date, segment, phone, gender, _source_file, _loaded_at
@@ -238,8 +245,8 @@ expect(
 expect(
     "ingest_orders_json",
     f"""select order_id, customer_id, order_date, status, payment_method, channel, {dbl('total_amount')},
-               cast(coalesce(n, 0) as int) as n_items, _source_system, {NEWEST} as _loaded_at
-        from raw_heads left join (select l_orderkey, count(*) as n from raw_lines group by 1) on l_orderkey = o_orderkey""",
+               cast(coalesce(n, 0) as int) as n_items, {CHECKSUM}, _source_system, {NEWEST} as _loaded_at
+        from raw_heads left join {COUNTED_LINES} on l_orderkey = o_orderkey""",
     "raw_heads", "raw_lines",
 )
 expect(
@@ -297,7 +304,8 @@ expect(
        union all select 'customer_tiers', count(distinct (customer_tier, is_registered_in_crm)),
                         cast(sum(lifetime_gross_spend_idr) as double) from d_cust
        union all select 'kimball_audit', count(distinct is_registered_customer), cast(sum(gross_revenue_idr) as double) from items
-       union all select 'summary', 1, cast(sum(gross_revenue_idr) as double) from items""",
+       union all select 'summary', 1, cast(sum(gross_revenue_idr) as double) from items
+       union all select 'generated', 1, null union all select 'run_metadata', 1, null""",
     "daily", "d_prod", "d_cust", "items",
 )
 
@@ -352,8 +360,8 @@ expect(
 expect(
     "stg_orders",
     f"""select order_id, customer_id, ordered_at, order_date, order_status, is_status_present, payment_method, channel,
-               {dbl('total_amount_idr')}, cast(coalesce(n, 0) as int) as n_items, _loaded_at
-        from ord left join (select l_orderkey, count(*) as n from raw_lines group by 1) on l_orderkey = o_orderkey""",
+               {dbl('total_amount_idr')}, cast(coalesce(n, 0) as int) as n_items, {CHECKSUM}, _loaded_at
+        from ord left join {COUNTED_LINES} on l_orderkey = o_orderkey""",
     "ord", "raw_lines",
 )
 expect(
@@ -769,6 +777,15 @@ expect(
     ),
     "raw_heads", "raw_lines",
 )
+# Every document once more with bad items: what is wrong with a head counts twice.
+ORACLE["dq_document_types"] = f"""
+    select "check", target, cast(failures * case when target like 'required.%' or target like 'enum.%' then 2 else 1 end + coalesce(n, 0) as bigint)
+        as failures
+    from ({ORACLE["dq_document_violations"]}) left join (
+        select unnest(case o_orderkey % 3 when 0 then ['items.type.qty', 'items.type.discount'] when 1 then ['required.items']
+            else ['items.type.unit_price', 'items.required.product_id'] end) as target, count(*) as n
+        from (select o_orderkey from orders union all select o_orderkey from orders where o_orderkey % 67 = 0) group by 1
+    ) using (target)"""
 expect(
     "dq_dirty_profile",
     failures(

@@ -135,7 +135,7 @@ def ingest_orders_json(x: Layers) -> DataFrame:
     orders = with_item_counts(tables.settle(read_landed(x)["orders"], "landed_orders"), "items", *head)
     return orders.select(
         "order_id", "customer_id", "order_date", "status", "payment_method", "channel", "total_amount",
-        F.col("items").alias("n_items"), "_source_system", "_loaded_at",
+        F.col("items").alias("n_items"), "items_checksum", "_source_system", "_loaded_at",
     )
 
 
@@ -180,7 +180,7 @@ def mart_roundtrip(x: Layers) -> DataFrame:
 
 @query
 def export_marts_json(x: Layers) -> DataFrame:
-    """Sections written as JSON and read back: records and revenue per section."""
+    """All sections written as JSON and read back: records, and revenue of those that have any."""
     root = fresh_folder(x.spark, "export")
     report = tables.refresh(quality.mart_report(x.marts, AS_OF), f"{root}/dq_report")
     written = reports.export_json(x.marts, report, root, LOADED_AT)
@@ -194,10 +194,10 @@ def export_marts_json(x: Layers) -> DataFrame:
     return quality.stack(
         [
             x.spark.read.schema(schema).json(f"{root}/{section}").agg(
-                F.count("*").alias("records"), F.sum(F.col(revenue[section]).cast("decimal(28,4)")).alias("revenue")
+                F.count("*").alias("records"),
+                F.sum(F.col(revenue[section]) if section in revenue else F.lit(None)).cast("decimal(28,4)").alias("revenue"),
             ).select(F.lit(section).alias("section"), "records", "revenue")
             for section, schema in written.items()
-            if section in revenue
         ]
     )
 
@@ -686,6 +686,25 @@ def dq_document_violations(x: Layers) -> DataFrame:
     return quality.document_violations(x.raw_orders)
 
 
+# Items of planted documents: numbers that are none, no items at all, a price that is none beside a missing product.
+BAD_ITEMS = (
+    '[{"product_id":"P","qty":"two","unit_price":"1","discount":"none"}]',
+    None,
+    '[{"product_id":"P","qty":1,"unit_price":"free"},{"qty":1,"unit_price":2}]',
+)
+
+
+@query
+def dq_document_types(x: Layers) -> DataFrame:
+    """All documents, and a copy of each with bad items, by its number."""
+    kind = F.pmod("o_orderkey", F.lit(len(BAD_ITEMS)))
+    items = F.element_at(F.array(*map(F.lit, BAD_ITEMS)), (kind + 1).cast("int"))
+    heads = raw_order_heads(x.spark, x.folder)
+    planted = heads.withColumns({"order_id": F.concat(F.lit("BAD-"), "order_id"), "items": items, "part": F.lit(0)})
+    same = [c for c in x.raw_orders.columns if c in planted.columns]
+    return quality.document_violations(x.raw_orders.select(*same).unionByName(planted.select(*same)))
+
+
 @query
 def dq_dirty_profile(x: Layers) -> DataFrame:
     return quality.dirty_profile(x.raw_customers, x.raw_products, raw_order_heads(x.spark, x.folder))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.raw_sql import RAW_CUSTOMERS, RAW_LINES, RAW_ORDER_HEADS, RAW_PRODUCTS
+from lumbung.operators.unnest import items_checksum
 from lumbung.operators.watch import Watch
 from lumbung.plans import customers, daily_run, line_items, products, sales, staging
 from lumbung.session import prepare, size_shuffles
@@ -108,14 +109,16 @@ def first_parts(orders: DataFrame) -> DataFrame:
 
 
 def with_item_counts(orders: DataFrame, items: str, *load: str) -> DataFrame:
-    """One row per order document (of each ``load``) with the number of its items in all parts instead of ``items``."""
+    """One row per order document (of each ``load``): number and checksum of its items in all parts instead of ``items``."""
     keys = ["order_id", *load]
-    counted = orders.withColumn(items, F.json_array_length(items))
+    counted = orders.withColumns({items: F.json_array_length(items), "items_checksum": items_checksum(F.col(items))})
     more = counted.filter("part > 0").groupBy(*[F.col(k).alias(f"_{k}_of_part") for k in keys])
-    more = more.agg(F.sum(items).cast("int").alias("_more"))
+    more = more.agg(F.sum(items).cast("int").alias("_more"), F.sum("items_checksum").alias("_more_checksum"))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}_of_part")) for k in keys]
-    joined = first_parts(counted).join(more, same, "left").withColumn(items, F.col(items) + F.coalesce("_more", F.lit(0)))
-    return joined.drop("_more", *[f"_{k}_of_part" for k in keys])
+    joined = first_parts(counted).join(more, same, "left")
+    added = {"_more": items, "_more_checksum": "items_checksum"}
+    joined = joined.withColumns({total: F.col(total) + F.coalesce(part, F.lit(0)) for part, total in added.items()})
+    return joined.drop(*added, *[f"_{k}_of_part" for k in keys])
 
 
 def raw_orders(spark: SparkSession, folder: str, document_items: int = DOCUMENT_ITEMS) -> DataFrame:

@@ -41,6 +41,17 @@ def parse_items(items: Column) -> Column:
     return F.sort_array(typed)
 
 
+def items_checksum(items: Column) -> Column:
+    """A number for the items of a document that does not depend on their order; checksums of parts add up."""
+    fields = ("product_id", "qty", "unit_price", "discount", "subtotal")
+
+    def of_one(item: Column) -> Column:
+        text = F.concat_ws("|", *[F.coalesce(item[f].cast("string"), F.lit("")) for f in fields])
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+    return F.aggregate(parse_items(items), F.lit(0).cast("long"), lambda total, item: total + of_one(item))
+
+
 def explode_items(orders: DataFrame, items: str = "items_jsonb") -> DataFrame:
     """One row per item; orders without items disappear.
 
