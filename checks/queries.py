@@ -7,6 +7,7 @@ the engine as doubles, as the last step.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,14 +119,14 @@ def run_retention(x: Layers) -> DataFrame:
     """Four published runs and a failed one, of which the two newest published ones stay."""
     warehouse = fresh_folder(x.spark, "warehouse")
     for day in (1, 2, 3, 4, 5):
-        tables.refresh(x.daily, f"{tables.run_folder(warehouse, f'run-{day}')}/fct_daily_sales")
+        tables.refresh(x.daily, tables.table_path(warehouse, f"run-{day}", "fct_daily_sales"))
+        tables.refresh(x.daily.limit(0), f"{tables.run_folder(warehouse, f'run-{day}')}/dq_report")
         log = tables.log_failure if day == 2 else tables.publish
         log(x.spark, warehouse, f"run-{day}", f"2026-12-0{day}T00:00:00")
-    gone = tables.retire(x.spark, warehouse, 2)
-    left = [f"run-{day}" for day in (1, 2, 3, 4, 5) if f"run-{day}" not in gone]
-    read = [x.spark.read.parquet(f"{tables.run_folder(warehouse, run)}/fct_daily_sales").withColumn("run_id", F.lit(run)) for run in left]
+    tables.retire(x.spark, warehouse, 2)
+    left = x.spark.read.parquet(f"{warehouse}/marts/fct_daily_sales")
     is_current = F.col("run_id") == tables.current_run(x.spark, warehouse)
-    return quality.stack(read).groupBy("run_id").agg(F.count("*").alias("n_rows")).withColumn("is_current", is_current)
+    return left.groupBy("run_id").agg(F.count("*").alias("n_rows")).withColumn("is_current", is_current)
 
 
 @query
@@ -175,7 +176,15 @@ def landing_file_validity(x: Layers) -> DataFrame:
 
 @query
 def mart_roundtrip(x: Layers) -> DataFrame:
-    return tables.refresh(x.compute_daily(), f"{fresh_folder(x.spark, 'mart')}/fct_daily_sales", "order_date")
+    """Marts of two runs, the second one published last, read by name."""
+    warehouse = fresh_folder(x.spark, "warehouse")
+    for run_id, share in (("run-1", 0.0), ("run-2", 1.0)):
+        for name, mart in {**x.marts, "fct_daily_sales": x.compute_daily()}.items():
+            tables.refresh(mart.filter(F.lit(share) > 0), tables.table_path(warehouse, run_id, name))
+        tables.publish(x.spark, warehouse, run_id, f"2026-12-01T0{run_id[-1]}:00:00")
+    prefix = f"checked_{uuid.uuid4().hex}_"
+    tables.name_marts(x.spark, warehouse, prefix)
+    return x.spark.table(f"{prefix}fct_daily_sales")
 
 
 @query

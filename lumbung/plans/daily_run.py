@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial
@@ -15,7 +15,7 @@ from lumbung.operators.watch import Watch
 from lumbung.plans import customers, line_items, products, quality, reports, sales, staging
 from lumbung.session import prepare, size_shuffles
 from lumbung.sources import exports, landing
-from lumbung.sources.tables import log_failure, publish, refresh, remove, retire, run_folder, settle, together
+from lumbung.sources.tables import log_failure, publish, refresh, remove, retire, run_folder, settle, table_path, together
 
 PUBLISHED = "published"
 STEPS = "steps"
@@ -37,8 +37,13 @@ def mart_watches(as_of: date) -> dict[str, Watch]:
     return watches | {LAYER: Watch(reports.line_sums())}
 
 
-def build_marts(raw: Mapping[str, DataFrame], folder: str, watches: Mapping[str, Watch] | None = None) -> dict[str, DataFrame]:
-    """Raw tables to four mart tables below ``folder``.
+def build_marts(
+    raw: Mapping[str, DataFrame],
+    folder: str,
+    watches: Mapping[str, Watch] | None = None,
+    place: Callable[[str], str] | None = None,
+) -> dict[str, DataFrame]:
+    """Raw tables to four mart tables, below ``folder`` or where ``place`` says.
 
     Clean customers, clean products and line items are written once each, below
     ``folder``/steps, because several marts read them; every mart then reads only
@@ -46,6 +51,7 @@ def build_marts(raw: Mapping[str, DataFrame], folder: str, watches: Mapping[str,
     go along with the writes of the tables they are named after.
     """
     watching = (watches or {}).get
+    place = place or (lambda name: f"{folder}/{name}")
     spark = raw["orders"].sparkSession
     steps = f"{folder}/{STEPS}"
     clean = together(
@@ -64,18 +70,18 @@ def build_marts(raw: Mapping[str, DataFrame], folder: str, watches: Mapping[str,
         spark,
         {
             "dim_customers": lambda: refresh(
-                customers.dim_customers(clean["customers"], metrics), f"{folder}/dim_customers", watch=watching("dim_customers")
+                customers.dim_customers(clean["customers"], metrics), place("dim_customers"), watch=watching("dim_customers")
             ),
             "dim_products": lambda: refresh(
-                products.dim_products(clean["products"], sold), f"{folder}/dim_products", watch=watching("dim_products")
+                products.dim_products(clean["products"], sold), place("dim_products"), watch=watching("dim_products")
             ),
             # Sorted by date over files, a hot day by order: reads of some days skip the other files.
             "fact_order_items": lambda: refresh(
-                sales.fact_order_items(layer), f"{folder}/fact_order_items", "order_date", "order_id",
+                sales.fact_order_items(layer), place("fact_order_items"), "order_date", "order_id",
                 watch=watching("fact_order_items"),
             ),
             "fct_daily_sales": lambda: refresh(
-                sales.fct_daily_sales(layer), f"{folder}/fct_daily_sales", "order_date", watch=watching("fct_daily_sales")
+                sales.fct_daily_sales(layer), place("fct_daily_sales"), "order_date", watch=watching("fct_daily_sales")
             ),
         },
     )
@@ -130,11 +136,11 @@ def run(
 
     Below the run's folder lie its raw tables, the counts of the load
     (``load_report``), the validator's warnings about documents
-    (``document_warnings``), the marts, the test outcomes (``dq_report``),
+    (``document_warnings``), the test outcomes (``dq_report``),
     the reconciliation of revenue (``reconciliation``) and a summary
     (``run_summary``). If tests fail, ``violations`` has the rows. Rows are counted
-    and revenue is summed by the jobs that write the tables. Intermediate tables go
-    after publication.
+    and revenue is summed by the jobs that write the tables. The marts are partitions
+    of one table each (``tables.table_path``). Intermediate tables go after publication.
     """
     prepare(spark)
     run_id = f"{loaded_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -146,7 +152,7 @@ def run(
     loaded = refresh(quality.load_report(spark, counted), f"{folder}/load_report")
     stop_if_failed(spark, warehouse, run_id, loaded, loaded_at)
     refresh(quality.document_violations(raw["orders"]), f"{folder}/document_warnings")
-    marts = build_marts(raw, folder, watched)
+    marts = build_marts(raw, folder, watched, partial(table_path, warehouse, run_id))
     lines = watched.pop(LAYER)
     refresh(reports.written_reconciliation(spark, lines, watched["fact_order_items"]), f"{folder}/reconciliation")
     report = refresh(quality.mart_report(marts, as_of, watched), f"{folder}/dq_report")

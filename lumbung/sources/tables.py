@@ -108,7 +108,9 @@ def retire(spark: SparkSession, warehouse: str, keep: int) -> list[str]:
     """Remove the folders of superseded runs; whoever reads the current run is not disturbed."""
     gone = superseded(spark, warehouse, keep)
     for run_id in gone:
-        remove(spark, run_folder(warehouse, run_id))
+        # The folder goes last: while it is there, a removal that was interrupted is taken up again.
+        for path in (*[table_path(warehouse, run_id, name) for name in MARTS], run_folder(warehouse, run_id)):
+            remove(spark, path)
     return gone
 
 
@@ -116,8 +118,29 @@ def run_folder(warehouse: str, run_id: str) -> str:
     return f"{warehouse}/runs/{run_id}"
 
 
+MARTS = ("dim_customers", "dim_products", "fact_order_items", "fct_daily_sales")
+
+
+def table_path(warehouse: str, run_id: str, name: str) -> str:
+    """Where a run's table lies: a mart is a partition of one table for all runs, the rest is in the run's folder."""
+    return f"{warehouse}/marts/{name}/run_id={run_id}" if name in MARTS else f"{run_folder(warehouse, run_id)}/{name}"
+
+
+def name_marts(spark: SparkSession, warehouse: str, prefix: str = "") -> None:
+    """Views by which SQL users read the marts of the current run.
+
+    They look the run up in the publication log and read its partition only, so they are made once, and the one
+    row that publishes a run moves all of them together. The warehouse needs a published run.
+    """
+    for name in MARTS:
+        spark.sql(f"""
+            CREATE OR REPLACE VIEW {prefix}{name} AS SELECT * EXCEPT (run_id) FROM parquet.`{warehouse}/marts/{name}`
+            WHERE run_id = (SELECT max_by(run_id, struct(finished_at, run_id)) FROM parquet.`{warehouse}/{PUBLICATIONS}`)
+        """)
+
+
 def read_published(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     run_id = current_run(spark, warehouse)
     if run_id is None:
         raise LookupError(f"nothing has been published in {warehouse}")
-    return spark.read.parquet(f"{run_folder(warehouse, run_id)}/{name}")
+    return spark.read.parquet(table_path(warehouse, run_id, name))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from lumbung.plans import daily_run, quality
 from lumbung.sources import exports, landing
-from lumbung.sources.tables import current_run, log_failure, publish, read_published, refresh, retire, run_folder, superseded
+from lumbung.sources.tables import (
+    MARTS, current_run, log_failure, name_marts, publish, read_published, refresh, retire, run_folder, superseded, table_path,
+)
 
 AS_OF = date(2026, 9, 10)
 LOADED_AT = datetime(2026, 9, 4, 6, 0)
@@ -210,7 +212,7 @@ def test_a_run_keeps_its_raw_tables_warnings_and_summary(spark, shop, tmp_path):
     outcome = run(spark, shop, tmp_path)
     folder = tmp_path / "warehouse" / "runs" / outcome.run_id
     assert {p.name for p in folder.iterdir()} == {
-        "raw", "document_warnings", "dim_customers", "dim_products", "fact_order_items", "fct_daily_sales", "dq_report", "run_summary",
+        "raw", "document_warnings", "dq_report", "run_summary",
         "reconciliation", "load_report",
     }  # no steps, no violations
     assert spark.read.parquet(str(folder / "run_summary")).first().total_order_items == 1
@@ -279,6 +281,8 @@ def test_only_the_newest_runs_stay(spark, shop, tmp_path):
         daily_run.run(spark, str(shop), warehouse, AS_OF, datetime(2026, 9, day), keep_runs=2).run_id for day in (4, 5, 6)
     ]
     assert {p.name for p in (tmp_path / "warehouse" / "runs").iterdir()} == set(ids[1:])
+    for mart in (tmp_path / "warehouse" / "marts").iterdir():
+        assert {p.name for p in mart.iterdir()} == {f"run_id={run_id}" for run_id in ids[1:]}
     assert current_run(spark, warehouse) == ids[2]
 
 
@@ -298,3 +302,34 @@ def test_retention_leaves_runs_that_are_read_or_written(spark, tmp_path):
     assert retire(spark, warehouse, 2) == [] and retire(spark, warehouse, 1) == ["failed-new", "r2"]
     with pytest.raises(ValueError):
         retire(spark, warehouse, 0)
+
+
+def test_marts_by_name_move_together(spark, tmp_path):
+    """Views made once follow the log: all marts of a run become visible with one row, none before."""
+    warehouse = str(tmp_path / "w")
+
+    def write(run_id, rows):
+        for name in MARTS:
+            refresh(spark.range(rows), table_path(warehouse, run_id, name))
+
+    def seen():
+        return {spark.table(f"shop_{name}").count() for name in MARTS}
+
+    write("20260904T060000-1e5", 5)
+    publish(spark, warehouse, "20260904T060000-1e5", "2026-09-04T00:00:00")
+    name_marts(spark, warehouse, "shop_")
+    assert seen() == {5} and spark.table("shop_dim_products").columns == ["id"]
+    write("20260905T060000-2e7", 7)
+    assert seen() == {5}
+    publish(spark, warehouse, "20260905T060000-2e7", "2026-09-05T00:00:00")
+    assert seen() == {7}
+    frame = spark.table("shop_fct_daily_sales")
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "run_id" in plan and "Subquery" in plan
+
+
+def test_a_run_can_be_read_by_name(spark, shop, tmp_path):
+    run(spark, shop, tmp_path)
+    name_marts(spark, str(tmp_path / "warehouse"), "daily_")
+    assert spark.sql("SELECT sum(gross_revenue_idr) AS s FROM daily_fact_order_items").first().s == 1900.5
