@@ -1,47 +1,60 @@
 """Quality rules as a short-circuit cascade, in Spark's own functions only.
 
-A document is kept if no rule rejects it, in whatever order they are asked. On a
-sample, each rule's time and the share of rows it rejects are measured; rules
-then stand in order of rejections per second in one CASE expression, which asks
-no further once a rule has rejected. The order changes the cost, never a verdict.
+A document is kept if no rule rejects it, in whatever order they are asked. Every
+rule says what it costs a row: the characters and words it has to go through
+again, and one unit for asking. On a sample, drawn by a hash of the ids and never
+leaving the executors, mean cost and share of rejected rows are estimated, in one
+job; rules then stand in order of rejections per cost in one CASE expression,
+which asks no further once a rule has rejected. Costs are counted, not timed, so
+the order is the same on every run. It changes the cost, never a verdict.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.llm.tables import checkpointed, named
+from lumbung.llm.tables import named
 
 WHITE_SPACE, WORD = r"[ \t-\r]+", r"[^ \t-\r]"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW_WORDS = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30  # words; per cent of words in repeated windows
-SAMPLE_ROWS = 500  # rows on which costs are measured; they decide the order only
+SAMPLE_ROWS = 500  # about so many rows are looked at for costs and rejections; they decide the order only
 
 
+class Rule(NamedTuple):
+    """What rejects a row, and what asking costs: characters or words that are gone through once more."""
 
-def rules() -> dict[str, Column]:
-    """Name and rejecting condition of every rule, built when a session is there."""
-    words = F.greatest("n_words", F.lit(1))
+    rejects: Column
+    cost: Column
+
+
+def rules() -> dict[str, Rule]:
+    """All rules, built when a session is there. Those on base counts only compare numbers."""
+    words, chars, free = F.greatest("n_words", F.lit(1)), F.char_length("text"), F.lit(0)
     letters = F.regexp_count("text", F.lit(r"\p{L}"))
+    # Words equal to the one before; only counted where this rule is asked.
+    stutter = F.size(F.filter("hashes", lambda hash, at: F.coalesce(F.get("hashes", at - 1) == hash, F.lit(False))))
     return {
-        "mean_word_length": ~F.expr("word_chars / greatest(n_words, 1)").between(2, 20),
-        "symbols": F.col("n_symbols") > 0.1 * words,
-        "repeated_lines": F.col("n_dup_lines") > F.greatest(0.3 * F.col("n_lines"), F.lit(2)),
-        "exclamations": F.regexp_count("text", F.lit("!")) > 0.3 * words,
-        "capitals": F.regexp_count("text", F.lit(r"\p{Lu}")) > 0.5 * F.greatest(letters, F.lit(1)),
-        "few_letters": letters < 0.5 * F.col("word_chars"),
-        "stutter": F.col("n_stutter") > 0.3 * words,
-        "ellipses": F.regexp_count("text", F.lit(r"(?:\.\.\.|…)[ \t\r]*(?:\n|$)")) > 0.3 * F.greatest("n_lines", F.lit(1)),
+        "mean_word_length": Rule(~F.expr("word_chars / greatest(n_words, 1)").between(2, 20), free),
+        "symbols": Rule(F.col("n_symbols") > 0.1 * words, free),
+        "repeated_lines": Rule(F.col("n_dup_lines") > F.greatest(0.3 * F.col("n_lines"), F.lit(2)), free),
+        "exclamations": Rule(F.regexp_count("text", F.lit("!")) > 0.3 * words, chars),
+        "capitals": Rule(F.regexp_count("text", F.lit(r"\p{Lu}")) > 0.5 * F.greatest(letters, F.lit(1)), 2 * chars),
+        "few_letters": Rule(letters < 0.5 * F.col("word_chars"), chars),
+        "stutter": Rule(stutter > 0.3 * words, F.col("n_words")),
+        "ellipses": Rule(
+            F.regexp_count("text", F.lit(r"(?:\.\.\.|…)[ \t\r]*(?:\n|$)")) > 0.3 * F.greatest("n_lines", F.lit(1)), chars
+        ),
     }
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the base counts of every row. Null texts have no words.
+    """doc_id, text, the base counts and the words' hashes of every row. Null texts have no words.
 
     Steps are separate selections: what a lambda looks up has to be a finished column, or it would be computed
     again for every element. Each array is named twice in the next step, so Spark does not merge the steps.
@@ -67,10 +80,9 @@ def counted(docs: DataFrame) -> DataFrame:
     )
     counts = ("doc_id", "text", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines")
     # A window's hash comes from the hashes of its words, in order.
-    stutter = F.filter("hashes", lambda hash, at: F.coalesce(F.get("hashes", at - 1) == hash, F.lit(False)))
+    counts = (*counts, "hashes")
     windows = hashed.select(
         *counts,
-        F.size(stutter).cast("long").alias("n_stutter"),
         F.when(
             F.size("hashes") >= WINDOW_WORDS,
             F.transform(
@@ -81,7 +93,6 @@ def counted(docs: DataFrame) -> DataFrame:
         .otherwise(F.array().cast("array<bigint>"))
         .alias("windows"),
     )
-    counts = (*counts, "n_stutter")  # words equal to the one before
     # Only texts with a repeated window are looked at further: equal hashes stand together once sorted.
     ordered = windows.select(
         *counts,
@@ -123,35 +134,27 @@ def alike(one: Column, i: Column) -> Column:
     return F.coalesce(before == one["hash"], F.lit(False)) | F.coalesce(after == one["hash"], F.lit(False))
 
 
-def measured_order(docs: DataFrame, found: Mapping[str, Column], sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names by rejections per second on the first documents.
+def sampled(docs: DataFrame, rows: int) -> DataFrame:
+    """About so many documents, spread over all of them by a hash of the id; all, if there are fewer."""
+    one_of = max(1, docs.count() // rows)
+    return docs.filter(F.pmod(F.xxhash64(named("doc_id"), F.lit("sample")), F.lit(one_of)) == 0)
 
-    They are taken as a show() takes them, which opens only as many files as it needs; a limit in a plan would
-    gather that many rows from every task.
-    """
-    texts = docs.select(named("doc_id").cast("long").alias("doc_id"), named("text").cast("string").alias("text"))
-    first = docs.sparkSession.createDataFrame(texts.take(sample_rows), texts.schema)
-    sample = checkpointed(counted(first))
-
-    def ask(condition: Column) -> tuple[float, int]:
-        start = time.perf_counter()
-        rejected = sample.agg(F.coalesce(F.sum(condition.cast("int")), F.lit(0))).first()[0]
-        return time.perf_counter() - start, rejected
-
-    ask(F.lit(True))  # the first job of a sample costs more
-    idle, _ = ask(F.lit(True))
-    worth = {}
-    for name, condition in found.items():
-        seconds, rejected = ask(condition)
-        worth[name] = rejected / max(seconds - idle, 1e-3)
+
+def cheapest_first(docs: DataFrame, found: Mapping[str, Rule], sample_rows: int = SAMPLE_ROWS) -> list[str]:
+    """Rule names by rejections per cost on a sample; equal ones by name. One row comes to the driver."""
+    asked = []
+    for i, rule in enumerate(found.values()):
+        asked += [F.count_if(rule.rejects).alias(f"rejected{i}"), (F.count("*") + F.coalesce(F.sum(rule.cost), F.lit(0))).alias(f"cost{i}")]
+    row = counted(sampled(docs, sample_rows)).agg(*asked).first()
+    worth = {name: row[f"rejected{i}"] / max(row[f"cost{i}"], 1) for i, name in enumerate(found)}
     return sorted(found, key=lambda name: (-worth[name], name))
 
 
-def cascade(found: Mapping[str, Column], order: Sequence[str]) -> Column:
+def cascade(found: Mapping[str, Rule], order: Sequence[str]) -> Column:
     """The first rule in ``order`` that rejects a row, or null."""
     first = F.when(F.lit(False), F.lit(""))
     for name in order:
-        first = first.when(found[name], F.lit(name))
+        first = first.when(found[name].rejects, F.lit(name))
     return first
 
 
@@ -162,7 +165,7 @@ def judged(docs: DataFrame) -> DataFrame:
     repeated, rows without an id stay. No rows, no verdicts.
     """
     rows, found = counted(docs), rules()
-    order = measured_order(docs, found)
+    order = cheapest_first(docs, found)
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     verdict = rows.withColumn("base_failed", base_failed)
     kept = F.when(F.col("base_failed"), False).otherwise(cascade(found, order).isNull())
