@@ -32,15 +32,17 @@ from lumbung.llm.trees import Tree, grow, value_of
 
 BASE = ("email", "ip", "card", "phone")
 LOCAL = r"[A-Za-z0-9._%+-]"
+APART = r"(?:\) ?| / |[ ./-]| \()?"  # between two digits of a local phone number
 # What a text must contain for a pattern to be worth trying, and the pattern.
 PATTERNS = {
     "email": ("@", rf"(?:(?<!{LOCAL})|\G){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     "ip": (r"[0-9]\.[0-9]", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": ("[0-9]", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}+(?![ -]?[0-9])"),
     "phone": (r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]"),
+    # Any 7 to 12 digits with single separators; dates, amounts and numbers of things are left to the trees.
     "local_phone": (
         "[0-9]",
-        r"(?<![0-9A-Za-z+().-])(?<![0-9+)] )(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ ./-]|[0-9]{3}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9A-Za-z]|[ .-][0-9])",
+        rf"(?<![0-9A-Za-z+().,:_-])(?<![0-9+)] )(?<![0-9] / )(?![0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9-]))\(?[0-9](?:{APART}[0-9]){{6,11}}+(?!{APART}[0-9]|[A-Za-z])",
     ),
     "national_id": ("[0-9]-", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
     "iban": ("[A-Z]{2}[0-9]{2}", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"),
@@ -57,7 +59,13 @@ CONTEXT = (
     r"security|passport|tax|mail|contact|reach|kontakt|contacto)"
 )
 AGAINST = r"(?i)(isbn|order|invoice|tracking|serial|part|sku|version|model|build|ticket|commit|timestamp|date|no\.|#|\$|€|=)\W*$"
-FEATURES = ("kind", "digits", "length", "marks", "luhn", "distinct", "context", "against", "glued", "measure", "two_letters")
+# Days, with the year first or last.
+DAY, MONTH, YEAR = "(?:0[1-9]|[12][0-9]|3[01])", "(?:0[1-9]|1[0-2])", "(?:19|20)[0-9]{2}"
+DATE = rf"^(?:{YEAR}[ ./-]?{MONTH}[ ./-]?{DAY}|{DAY}[ ./-]{MONTH}[ ./-]{YEAR}|{MONTH}[ ./-]{DAY}[ ./-]{YEAR}|{YEAR}[ /-]{YEAR})"
+FEATURES = (
+    "kind", "digits", "length", "marks", "luhn", "distinct", "context", "against", "glued", "measure", "two_letters", "opens", "groups",
+    "thousands", "date",
+)
 ROUNDS, DEPTH, RATE, LEAST_PRECISION = 40, 3, 0.3, 0.95
 
 
@@ -132,6 +140,10 @@ def features(kind: str | Column, value: Column, before: Column, after: Column) -
         "against": flag(before.rlike(AGAINST)),
         "glued": flag(before.rlike(r"[\p{L}\p{N}_.,/\\:-]$")) + flag(after.rlike(r"^[\p{L}_/\\:]|^[.,][0-9]")),
         "measure": flag(after.rlike(r"^ ?(%|px|kg|km|cm|mm|ms|USD|EUR)")),
+        "opens": flag(value.rlike(r"^(?:0|\()")),
+        "groups": F.size(F.split(F.regexp_replace(value, "[^0-9]+", " "), " ")).cast("double"),
+        "thousands": flag(value.rlike(r"^[1-9][0-9]{0,2}(?:([ .])[0-9]{3})(?:\1[0-9]{3})+$")),
+        "date": flag(value.rlike(DATE)),
         "two_letters": flag(value.rlike("^(AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|HU|IE|IT|LU|NL|NO|PL|PT|RO|SE|SK)")),
     }
 

@@ -12,8 +12,8 @@ CONTEXTS = {
         ["the _ was", "and _ ", "ration _ eren", "was _, the", "ISBN _ print", "order # _ sent", "tracking _ by", "serial=_;", "timestamp _ ms", "order _ is", "id/_/x", "$_ in total", "a_b"],
     ),
     "local_phone": (
-        ["phone _ or", "call _ now", "tel. _,", "fax: _ ", "my mobile _.", "contact _ today", "Telefon _ ", "and _ for"],
-        ["order _ and", "part _ x", "version _ of", "serial=_ ", "date _ to", "about _ kg", "ticket # _ is", "$_ a year"],
+        ["phone _ or", "call _ now", "tel. _,", "fax: _ ", "my mobile _.", "contact _ today", "Telefon _ ", "reach me at _ or", "tél. _,", "llama al teléfono _ "],
+        ["order _ and", "part _ x", "version _ of", "serial=_ ", "date _ to", "about _ kg", "ticket # _ is", "$_ a year", "ISBN _ in", "tracking _ ", "invoice no. _,", "sku _ has"],
     ),
     "national_id": (
         ["SSN _ was", "social security _,", "her number _ is", "tax id _.", "and _ the", "was _ in"],
@@ -30,11 +30,17 @@ CONTEXTS = {
 }
 FORMS = {
     "number": (["dddddddddddddddd", "dddd dddd dddd dddd", "dddd-dddd-dddd-dddd", "ddddddddddddddd", "ddddddddddddd"], ["0000000000000000", "1111111111111111", "1000000000000000", "0000-0000-0000-0000"]),
-    "local_phone": (["(ddd) ddd-dddd", "ddd-ddd-dddd", "0ddd dddd ddd", "0dd/dddd ddd"], ["000-000-0000", "100 000 000"]),
+    "local_phone": (
+        ["(ddd) ddd-dddd", "ddd-ddd-dddd", "0ddd dddd ddd", "0dd/dddd ddd", "0d dd dd dd dd", "0ddddddddd", "ddd dd dd dd", "0dd / dddddd", "dddddddddd",
+         "ddd dddd", "0d.dd.dd.dd.dd", "(0dd) ddddddd", "dddddddd", "ddd ddd ddd"],
+        ["000-000-0000", "2024-05-1d", "2019/11/2d", "1d.03.2021", "1 500 000", "20240512", "0000000", "1d 000 000", "2001 2009"],
+    ),
     "national_id": (["ddd-dd-dddd"], ["000-00-0000"]),
     "iban": (["DEdd dddd dddd dddd dddd dd", "FRdd dddd dddd dddd dddd dddd ddd", "ESdddddddddddddddddddddd", "NLdd ABNA dddd dddd dd"], ["XQdddddddddddd", "ZZdd ABCD EFGH IJKL"]),
     "spelled_email": (["jane.doe (at) mail.example.com", "info[at]site.org", "joe (at) example (dot) com", "abc1[at]post.net"], []),
 }
+# Without any word around them, only forms that nothing else is written in are personal.
+ALONE = {"local_phone": (["and _ for", "was _ in", "the _ eren", "- _ "], ["(ddd) ddd-dddd", "0ddd dddd ddd", "0d dd dd dd dd", "0d.dd.dd.dd.dd", "0dd / dddddd"], ["dddddddd", "ddddddd", "dddddddddd", "ddd ddd ddd", "2024-05-1d", "1 500 000"])}
 ROUNDS = 3
 
 
@@ -59,4 +65,10 @@ def EXAMPLES() -> list[dict]:
                 for k, (form, label) in enumerate(values):
                     value = form if kind == "spelled_email" else filled(form, 7919 * turn + 104729 * i + 31 * k)
                     found.append({"kind": kind, "before": before, "value": value, "after": after, "label": label})
+        for kind, (contexts, real, empty) in ALONE.items():
+            for i, context in enumerate(contexts):
+                before, _, after = context.partition("_")
+                for k, form in enumerate((*real, *empty)):
+                    value = filled(form, 6007 * turn + 7_368_787 * i + 37 * k)
+                    found.append({"kind": kind, "before": before, "value": value, "after": after, "label": float(k < len(real))})
     return found
