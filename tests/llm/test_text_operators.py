@@ -4,6 +4,8 @@ import base64
 import hashlib
 import random
 import re
+import string
+import time
 from array import array
 from collections import Counter, defaultdict
 
@@ -14,6 +16,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lumbung.llm import bpe, digest, pages, personal_data, quality_rules, secret_scan, toxicity
 from lumbung.llm.trees import value_of
@@ -110,6 +113,56 @@ def test_random_keys_of_any_length_are_novel(alphabet, length):
         assert [s[:3] for s in secret_scan.find(f"bearer {key}") if s[0] == "novel"] == [("novel", 7, 7 + length)]
 
 
+KEY = "q8Zt3LxV0bN7wKpR2mYcT5hJ9sDf"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{KEY}\n-----END RSA PRIVATE KEY-----",
+        f"a: 1\nsecret_key: |\n  {KEY}\nb: 2",
+        f'{{"private_key":\n  "{KEY}"}}',
+        f"credentials:\n  - other: 1\n    deep: {KEY}\nafter: 3",
+        f"signature {KEY}",
+    ],
+)
+def test_context_reaches_back_to_headers_and_keys(text):
+    at = text.index(KEY)
+    assert [s[:3] for s in secret_scan.find(text) if s[0] == "novel"] == [("novel", at, at + len(KEY))]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"-----BEGIN CERTIFICATE-----\n{KEY}\n-----END CERTIFICATE-----",
+        f"-----BEGIN PRIVATE KEY-----\nabc=\n-----END PRIVATE KEY-----\nplain words here\n{KEY}",
+        f"secret_key: |\n  short\nname: {KEY}",
+        f"secret\n{KEY}",
+        "authentication by Donaudampfschifffahrtsgesellschaft or internationalizations",
+    ],
+)
+def test_other_lines_are_no_context(text):
+    assert not [s for s in secret_scan.find(text) if s[0] == "novel"]
+
+
+def test_letters_alone_and_the_reach():
+    for key in ("xvqkzwjhgtrplmbnqdfkzxcvwy", "QxvKzwJhgTrplMbnqDfkzXcvWy"):
+        assert [s[1:3] for s in secret_scan.find(f"signature: {key} end")] == [(11, 11 + len(key))]
+    far = "token " + "word " * 20 + KEY
+    assert not secret_scan.find(far) and [s[0] for s in secret_scan.find(far, None)] == ["novel"]
+
+
+def test_many_secrets_take_time_in_proportion():
+    dice = random.Random(4)
+    took = []
+    for n in (2_000, 8_000):
+        text = "\n".join(f"secret = {''.join(dice.choices(string.ascii_letters, k=24))}" for _ in range(n))
+        start = time.perf_counter()
+        assert len([s for s in secret_scan.find(text) if s[0] == "assign"]) == n
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0]
+
+
 def test_long_names_are_not_novel():
     names = "user_session_token_handler_2024_01/config.access_error_message/"
     for times in (1, 3, 10):
@@ -244,7 +297,51 @@ def test_verdicts_do_not_depend_on_the_order(documents):
     for order in (list(rules), list(reversed(rules))):
         kept = rows.select("doc_id", quality_rules.cascade(rules, order).isNull().alias("kept")).collect()
         assert {r["doc_id"] for r in kept if r["kept"]} == {0}
-    assert sorted(quality_rules.measured_order(docs, rules)) == sorted(rules)
+    assert sorted(quality_rules.cheapest_first(docs, rules)) == sorted(rules)
+
+
+def plain_verdict(text):
+    """All rules at once, without a cascade."""
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = plain_counts(text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n_lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) for line in text.split("\n"))
+    letters, upper = sum(c.isalpha() for c in text), sum(c.isupper() for c in text)
+    most = max(n_words, 1)
+    return not (
+        n_words < 20 or 100 * n_repeat_words > 30 * n_words
+        or not 2 <= word_chars / most <= 20
+        or n_symbols > 0.1 * most
+        or n_dup_lines > max(0.3 * n_lines, 2)
+        or text.count("!") > 0.3 * most
+        or upper > 0.5 * max(letters, 1)
+        or letters < 0.5 * word_chars
+        or sum(a == b for a, b in zip(words, words[1:])) > 0.3 * most
+        or len(re.findall(r"(?:\.\.\.|…)[ \t\r]*(?:\n|\Z)", text)) > 0.3 * max(n_lines, 1)
+    )
+
+
+def test_verdicts_equal_a_plain_version(documents):
+    dice = random.Random(13)
+    parts = ["word", "other", "THIS", "no!", "a", "|", "##", "12345", "...", "end...\n", "same same", "line of text\n", "averyveryverylongwordindeed", "é"]
+    texts = [" ".join(dice.choices(parts, weights=[dice.random() ** 3 for _ in parts], k=dice.randint(15, 90))) for _ in range(400)]
+    found = {r["doc_id"]: r["kept"] for r in quality_rules.judged(documents(*enumerate(texts))).collect()}
+    assert found == {i: plain_verdict(text) for i, text in enumerate(texts)}
+    assert 20 < sum(found.values()) < 380
+
+
+def test_rules_are_ordered_by_rejections_per_counted_cost(spark, documents):
+    dice = random.Random(14)
+    texts = [" ".join(dice.choices(["word", "OTHER", "no!", "|"], k=40)) for _ in range(300)]
+    docs, found = documents(*enumerate(texts)), quality_rules.rules()
+    order = quality_rules.cheapest_first(docs, found)
+    assert all(quality_rules.cheapest_first(docs.repartition(k), found) == order for k in (1, 7))
+    rows = quality_rules.counted(docs)
+    worth = {}
+    for name, rule in found.items():
+        rejected, cost = rows.agg(F.count_if(rule.rejects), F.sum(rule.cost + 1)).first()
+        worth[name] = rejected / cost
+    assert order == sorted(worth, key=lambda name: (-worth[name], name))
+    assert 20 < quality_rules.sampled(documents(*enumerate(["text"] * 4_000)), 50).count() < 120
 
 
 def test_native_operators_run_no_python(documents):
@@ -371,3 +468,27 @@ def test_repeated_rows_of_an_id_are_learnt_from_once(documents, labels):
     assert once.weights
     repeated = [*rows, *[rows[3]] * 200, *[rows[4]] * 50]
     assert toxicity.train(documents(*repeated), marks) == once
+
+
+# Kept apart from the examples that the trees are trained on: other forms, other words around them.
+PHONES = [
+    "06 12 34 56 78", "0612345678", "612 34 56 78", "030 / 123456", "5551234567", "555-123-4567", "(030) 1234567", "0171 2345678",
+    "91 234 56 78", "020 7946 0018", "0176/12345678", "04.91.22.33.44", "(555) 123 4567", "12345678",
+]
+PHONE_WORDS = ["Tel: _", "please give us a call: _ thanks", "Handy _ (abends)", "her mobile is _.", "Telefonnummer lautet _ und", "Téléphone : _", "teléfono móvil _,", "by fax _ or"]
+OTHER_NUMBERS = [
+    "on 2024-05-12 we", "since 12.05.2024 it", "about 1 500 000 people", "years 2001 2009 in", "invoice 20240512 was", "order 1234567 came",
+    "SKU 555-123-4567 is", "serial=0612345678;", "part 12-345-678 fits", "costs $1234567 now", "tracking 5551234567 ok", "took 12345678 ms",
+    "ISBN 3 551 35401 3 is", "version 10.20.3040.5 of", "and 20240512 in", "the 1234567 was", "x=12345678", "page 1024 of 2048 there",
+]
+
+
+def test_recall_of_local_phones_on_a_table_kept_apart(documents):
+    texts = [words.replace("_", phone) for words in PHONE_WORDS for phone in PHONES]
+    found = {r["doc_id"]: r["added"] for r in personal_data.with_spans(documents(*enumerate(texts))).collect()}
+    whole = [phone for words in PHONE_WORDS for phone in PHONES]
+    hit = sum(any(texts[i][s["start"] : s["end"]] == whole[i] for s in spans) for i, spans in found.items())
+    missed = [texts[i] for i, spans in found.items() if not any(texts[i][s["start"] : s["end"]] == whole[i] for s in spans)]
+    assert hit >= 0.9 * len(texts), missed
+    others = personal_data.with_spans(documents(*enumerate(OTHER_NUMBERS))).filter(F.size("added") > 0).select("text").collect()
+    assert len(others) <= 0.1 * len(OTHER_NUMBERS), others
