@@ -6,14 +6,18 @@ the same kind, and training penalises the square of the score's change. What a
 text says about a group then counts, which group it is does not.
 
 Labels are learnt from a bounded number of labelled rows (``TRAIN_ROWS``); the
-model has a bounded number of features (``MOST_FEATURES``). Texts of any length
-are scored whole.
+model has a bounded number of features (``MOST_FEATURES``). Both are parameters
+of ``train``, and so is the weight of the penalty. What all swaps ask of the
+weights is summed up on the executors, to one number per pair of features. Texts
+of any length are scored whole.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,7 +110,34 @@ def surprise(total: int, positive: int) -> Column:
     return 2 * (inside + outside)
 
 
-def fit(kept: list[str], features: list[list[str]], labels: np.ndarray, swaps: list[tuple[str, str]]) -> Model:
+def swing_of(changes: DataFrame, kept: list[str]) -> np.ndarray:
+    """Mean product of what distinct ``changes`` (gone, come) do to each pair of features, of those that do anything.
+
+    Every task sums its own; a pair of features is one row in the end, so the driver gets a bounded matrix.
+    """
+    column = {name: k for k, name in enumerate(kept)}
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, acting = np.zeros((len(kept), len(kept))), 0
+        for batch in batches:
+            for gone, come in zip(batch.column("gone").to_pylist(), batch.column("come").to_pylist()):
+                moves = Counter(column[word] for word in come.split() if word in column)
+                moves.subtract(column[word] for word in gone.split() if word in column)
+                at = [k for k, by in moves.items() if by]
+                total[np.ix_(at, at)] += np.outer([moves[k] for k in at], [moves[k] for k in at])
+                acting += bool(at)
+        i, j = total.nonzero()
+        columns = [np.append(i, -1), np.append(j, -1), np.append(total[i, j], float(acting))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["i", "j", "value"])
+
+    found = changes.mapInArrow(summed, "i long, j long, value double").groupBy("i", "j").agg(F.sum("value").alias("value")).toArrow()
+    i, j, value = (found[c].to_numpy() for c in ("i", "j", "value"))
+    swing, inside = np.zeros((len(kept), len(kept)), np.float32), i >= 0
+    swing[i[inside], j[inside]] = value[inside]
+    return swing / max(value[~inside].sum(), 1)
+
+
+def fit(kept: list[str], features: list[list[str]], labels: np.ndarray, swing: np.ndarray, fairness: float = FAIRNESS) -> Model:
     """Weights of the parts in ``kept``, which the rows' ``features`` are taken from."""
     total, positive = len(labels), int(labels.sum())
     intercept = math.log((positive + 1) / (total - positive + 1))
@@ -116,22 +147,14 @@ def fit(kept: list[str], features: list[list[str]], labels: np.ndarray, swaps: l
     x = np.zeros((total, len(kept)), np.float32)
     for row, found in enumerate(features):
         x[row, [column[name] for name in found]] = 1.0
-    changes = np.zeros((len(swaps), len(kept)), np.float32)
-    for i, (gone, come) in enumerate(swaps):
-        for words, sign in ((gone, -1.0), (come, 1.0)):
-            for word in words.split():
-                if word in column:
-                    changes[i, column[word]] += sign
-    changes = changes[np.abs(changes).sum(1) > 0]
     # Accelerated gradient descent; the step follows from a bound on the curvature.
     y, w, b = labels.astype(np.float32), np.zeros(len(kept), np.float32), np.float32(intercept)
-    swing = changes.T @ changes / max(len(changes), 1)
     steepest = 0.25 * float(np.linalg.norm(x.T @ x / total, 1)) + 0.25 + RIDGE / total
-    rate = 1.0 / (steepest + FAIRNESS * float(np.abs(swing).sum(1).max(initial=0.0)))
+    rate = 1.0 / (steepest + fairness * float(np.abs(swing).sum(1).max(initial=0.0)))
     w_ahead, b_ahead = w, b
     for step in range(STEPS):
         error = 1.0 / (1.0 + np.exp(-np.clip(x @ w_ahead + b_ahead, -60, 60))) - y
-        slope = x.T @ error / total + RIDGE / total * w_ahead + FAIRNESS * (swing @ w_ahead)
+        slope = x.T @ error / total + RIDGE / total * w_ahead + fairness * (swing @ w_ahead)
         new_w, new_b = w_ahead - rate * slope, b_ahead - rate * error.mean()
         push = step / (step + 3.0)
         w_ahead, b_ahead = new_w + push * (new_w - w), new_b + push * (new_b - b)
@@ -144,7 +167,9 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD_OUT_FOLD, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_features: int = MOST_FEATURES, fairness: float = FAIRNESS
+) -> Model:
     """Learn from at most ``rows`` labelled documents, chosen by a hash of their ids."""
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -171,14 +196,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         counted = sample.select("toxic", F.explode("parts").alias("part")).groupBy("part")
         counted = counted.agg(F.count("*").alias("rows"), F.sum("toxic").alias("hits")).filter(F.col("rows") >= LEAST_ROWS)
         telling = counted.withColumn("surprise", surprise(total, positive)).filter(F.col("surprise") >= LEAST_SURPRISE)
-        best = telling.orderBy(F.col("surprise").desc(), "part").limit(MOST_FEATURES)
+        best = telling.orderBy(F.col("surprise").desc(), "part").limit(most_features)
         kept = [row["part"] for row in best.collect()]
     known = F.array(*map(F.lit, kept)).cast("array<string>")
     found = sample.select("doc_id", "toxic", F.array_intersect("parts", known).alias("parts")).collect()
     found.sort(key=lambda row: (row["doc_id"], row["toxic"], row["parts"]))
-    changes = sample.select(F.explode("swaps").alias("change")).distinct().collect()
-    changes = sorted(tuple(row["change"]) for row in changes)
-    return fit(kept, [row["parts"] for row in found], np.array([row["toxic"] for row in found], float), changes)
+    changes = sample.select(F.explode("swaps").alias("change"))
+    changes = changes.select(F.get("change", 0).alias("gone"), F.get("change", 1).alias("come")).distinct()
+    swing = swing_of(changes, kept) if kept else np.zeros((0, 0), np.float32)
+    return fit(kept, [row["parts"] for row in found], np.array([row["toxic"] for row in found], float), swing, fairness)
 
 
 def score(text: str | Column, model: Model) -> Column:

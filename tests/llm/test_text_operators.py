@@ -420,6 +420,42 @@ def test_group_names_do_not_count(documents, labels):
     assert model.score("vermin") > model.score("bread") + 0.2
 
 
+def test_penalty_lowers_false_positives_on_neutral_mentions(documents, labels):
+    """A table made apart: neutral sentences about the group that toxic texts name most, and toxic ones about any."""
+    dice = random.Random(5)
+    plain = "river stone cloud bread table window garden paper".split()
+    other = "market harbour school library music train winter football".split()
+    rows, marks = [], []
+    for i in range(600):
+        toxic = i % 2
+        words = dice.choices(plain, k=10)
+        words += [dice.choice(["muslims", "muslims", "muslims", "jews"] if toxic else ["christians", "christians", "hindus", "muslims"])]
+        words += [dice.choice(["vermin", "filth", "scum"])] if toxic and i % 3 else []
+        dice.shuffle(words)
+        rows.append((i, " ".join(words) + "."))
+        marks.append((i, 1, toxic))
+    docs, marked = documents(*rows), labels(*marks)
+    fair, unfair = toxicity.train(docs, marked), toxicity.train(docs, marked, fairness=0.0)
+    neutral = [f"The {group} met at the {dice.choice(other)} with {dice.choice(plain)} and {dice.choice(other)}." for group in ("muslims", "jews") for _ in range(60)]
+    bad = [f"All {group} are {dice.choice(['vermin', 'filth', 'scum'])} at the {dice.choice(other)}." for group in ("christians", "hindus", "muslims") for _ in range(30)]
+
+    def share(model, texts, limit):
+        return sum(model.score(t) >= limit for t in texts) / len(texts)
+
+    # Limits at which each finds nine in ten of the toxic ones.
+    limits = {m: sorted(m_.score(t) for t in bad)[len(bad) // 10] for m, m_ in (("fair", fair), ("unfair", unfair))}
+    assert share(unfair, neutral, limits["unfair"]) > 0.3
+    assert share(fair, neutral, limits["fair"]) < 0.05
+
+
+def test_swaps_are_summed_where_they_are(spark):
+    kept = ["a", "b", "c", "d"]
+    changes = [("a", "b"), ("a c", "b c"), ("a", "c d"), ("x", "y"), ("", "")]
+    swing = toxicity.swing_of(spark.createDataFrame(changes, "gone string, come string").repartition(3), kept)
+    vectors = np.array([[-1, 1, 0, 0], [-1, 1, 0, 0], [-1, 0, 1, 1]], float)
+    assert np.allclose(swing, vectors.T @ vectors / 3)
+
+
 def test_held_out_rows_are_not_learnt_from(spark, documents, labels):
     import zlib
 
