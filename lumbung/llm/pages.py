@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from lumbung.llm.page_examples import PAGES, variants
 from lumbung.llm.tables import named, short_batches
 from lumbung.llm.trees import Tree, grow, value_of
 
-DEPTH = 5
+DEPTH = 8
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -96,6 +97,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
     """(text, words, words in links, container) of each block with text, in page order."""
     found: list[tuple[str, int, int, int]] = []
     stack: list[tuple[str, int]] = []  # open elements that matter, with what they say
+    open_names: Counter[str] = Counter()  # so that a closing tag without an open element costs nothing
     parts: list[str] = []
     linked: list[str] = []
     links = 0
@@ -140,13 +142,14 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             links = 0
             if not closing and name not in VOID:
                 if name == "p" and stack and stack[-1][0] == "p":
-                    stack.pop()
+                    open_names[stack.pop()[0]] -= 1
+                open_names[name] += 1
                 stack.append((name, container(name, rest or "", stack[-1][1] if stack else NEUTRAL)))
-            elif closing:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == name:
-                        del stack[depth:]
-                        break
+            elif closing and open_names[name]:
+                closed = ""
+                while closed != name:
+                    closed = stack.pop()[0]
+                    open_names[closed] -= 1
     if at < len(page):
         add(page[at:])
     close_block()

@@ -256,6 +256,51 @@ def test_tree_knows_its_examples():
     assert right / total > 0.95
 
 
+STORY = "The new bridge was opened on Saturday by the mayor, who thanked the builders for three years of work in all weathers. "
+MENU = '<a href="/a">Start</a> <a href="/b">Politics</a> <a href="/c">Weather</a>'
+# Only plain containers: label, text. Kept apart from the table that the tree is trained on.
+BLANK_PAGES = [
+    [("-", MENU), ("+", "Bridge opened"), ("+", STORY * 2), ("+", "He smiled."), ("+", STORY), ("-", MENU), ("-", "Legal")],
+    [("-", "Topics"), ("-", MENU), ("+", "Short notice"), ("+", "The library stays closed on Monday and Tuesday of this week."), ("-", MENU)],
+    [("-", MENU), ("-", '<a href="/d">Sign in</a>'), ("+", STORY), ("+", STORY * 3), ("-", '<a href="/e">Back</a>'), ("-", MENU), ("-", "Help")],
+    [("-", MENU), ("+", "A day out"), ("+", STORY), ("+", "Getting there"), ("+", STORY), ("-", "More"), ("-", '<a href="/f">Trips</a>'), ("-", MENU)],
+]
+
+
+def test_blocks_of_pages_without_names_are_told_by_words_links_and_neighbours():
+    right = total = 0
+    for page in BLANK_PAGES:
+        found = pages.main_text("".join(f"<div>{text}</div>" for _, text in page), pages.trained()).split("\n\n")
+        for label, text in page:
+            right += (re.sub("<[^>]*>", "", text).strip() in found) == (label == "+")
+            total += 1
+    assert right >= 0.9 * total, (right, total)
+
+
+def test_links_at_the_end_of_an_article_are_left_out():
+    links = "".join(f'<li><a href="/{i}">Other story {i}</a></li>' for i in range(4))
+    page = f'<article><h1><a href="/x">Bridge opened</a></h1><p>{STORY * 2}</p><p>See <a href="/y">pictures of the day</a></p><p>{STORY}</p><ul>{links}</ul></article>'
+    found = pages.main_text(page, pages.trained()).split("\n\n")
+    assert found == ["Bridge opened", (STORY * 2).strip(), "See pictures of the day", STORY.strip()]
+
+
+def test_neighbours_are_asked_about():
+    def asked(tree):
+        return {tree[0]} | asked(tree[2]) | asked(tree[3]) if isinstance(tree, tuple) else set()
+
+    assert {2, 3} & asked(pages.trained()) and {4, 5} & asked(pages.trained())
+
+
+@pytest.mark.parametrize("close", ["</p>", "</section>", "</div>"])
+def test_deep_nesting_takes_time_in_proportion(close):
+    took = []
+    for n in (5_000, 40_000):
+        start = time.perf_counter()
+        pages.blocks("<div>" * n + "text" + close * n)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 24 * took[0] + 0.1
+
+
 def test_pages_with_nulls(spark):
     rows = [(1, "u", PAGE), (None, None, None), (2, "u", ""), (2, "u", "")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS text", "page_id AS n_chars")
