@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from lumbung.llm.tables import ids_and_texts
 
 SHARDS = 8
+ROWS_PER_STRETCH = 10_000  # equal rows that are numbered together
 # Fixed value: the multiplier of the published generator.
 MULTIPLIER = np.uint64(2862933555777941757)
 
@@ -79,12 +80,16 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("shard", "part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"))
     first = F.col("start") + F.col("last") - F.col("copies")
-    return numbered.join(starts, ["shard", "part"]).select(
+    placed = numbered.join(starts, ["shard", "part"]).withColumns({"first": first, "end": first + F.col("copies")})
+    # Equal rows get their numbers in stretches, which are dealt anew, so that no task or array has all of them.
+    stretches = F.sequence("first", F.col("end") - 1, F.lit(ROWS_PER_STRETCH).cast("long"))
+    dealt = placed.withColumn("from", F.explode(stretches)).repartition("shard", "from")
+    return dealt.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("key").alias("law"),
         "shard",
-        F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("slot"),
+        F.explode(F.sequence("from", F.least(F.col("from") + ROWS_PER_STRETCH, "end") - 1)).alias("slot"),
         "grown_shard",
     )

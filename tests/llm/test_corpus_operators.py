@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from lumbung.llm import golay, mixing, sharding, simhash
 
 # ---------------------------------------------------------------- near-duplicates
@@ -125,6 +127,22 @@ def test_shards_are_gapless_and_move_only_to_the_new_one(documents):
     assert sorted(map(str, found)) == sorted(map(str, again))
 
 
+def test_a_third_of_all_rows_being_equal_is_spread(spark, documents, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_STRETCH", 100)
+    rows = documents(*[(i, "x") for i in range(6_000)]).unionByName(documents((7, "same")).crossJoin(spark.range(3_000)).drop("id"))
+    found = sharding.sharded(rows)
+    slots = [r["slot"] for r in found.filter(F.col("shard") == found.filter("text_crc32 = crc32('same')").first()["shard"]).collect()]
+    assert sorted(slots) == list(range(len(slots))) and len(slots) > 3_000
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")  # so few rows would be put together again
+        tasks = sharding.sharded(rows).filter("text_crc32 = crc32('same')").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(key, before)
+    assert found.count() == 9_000 and max(r["count"] for r in tasks) < 2_500
+
+
 # ---------------------------------------------------------------- mixing
 
 
