@@ -212,7 +212,11 @@ def there_and_back(text: str | Column, ranks: str = RANKS, pattern: str = public
 
 
 def tokenized(docs: DataFrame) -> DataFrame:
-    """Whole rows with their token ids, in a new column ``token_ids`` (underscores follow if the name is taken)."""
+    """Whole rows with their token ids, in a new column ``token_ids`` (underscores follow if the name is taken).
+
+    Null and empty texts have no ids. Texts of any length are encoded whole, equal texts equally; repeated rows come
+    out repeated. No rows, no rows.
+    """
     name = "token_ids"
     while name.lower() in map(str.lower, docs.columns):
         name += "_"

@@ -113,7 +113,11 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def emitted(docs: DataFrame) -> DataFrame:
-    """The mix itself: whole rows, each as often as it is taken."""
+    """The mix itself: whole rows, each as often as it is taken.
+
+    Rows without a source are a source of their own, rows without an id are drawn by their text. Null, empty and
+    very long texts are emitted as they are; repeated rows are taken equally often. No rows, no rows.
+    """
     rates = checkpointed(targets(sources_and_sizes(docs)))
     source = F.col("row").getField("source").cast("string")
     rows = whole_rows(docs).select("row", source.alias("source"), draw("doc_id", "text").alias("u"))

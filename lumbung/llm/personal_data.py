@@ -215,7 +215,8 @@ def tree_column(tree: Tree, found: dict[str, Column]) -> Column:
 def with_spans(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, the columns named in ``keep``, ``base`` and ``added`` spans (kind, start, end).
 
-    Both are by kind, then start. An added span never touches a base one.
+    Both are by kind, then start. An added span never touches a base one. Null texts are empty and have no spans;
+    texts of any length are searched whole, repeated rows come out repeated. No rows, no rows.
     """
     trees, a, b, limits = learnt(docs.sparkSession)
     rows = docs.select(

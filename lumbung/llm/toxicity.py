@@ -227,6 +227,10 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Whole rows that are not predicted toxic."""
+    """Whole rows that are not predicted toxic.
+
+    Null and empty texts have the score of a text without words, texts of any length are scored whole. Repeated rows
+    stay or go together, other columns are kept whatever their names. No rows, no rows.
+    """
     model = train(docs, labels)
     return whole_rows(docs).filter(score("text", model) < THRESHOLD).select("row.*")

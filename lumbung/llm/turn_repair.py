@@ -25,12 +25,12 @@ from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.llm.tables import ROWS_PER_BATCH, named, short_batches
-from lumbung.llm.turns import in_order, parts_of
+from lumbung.llm.tables import ROWS_PER_BATCH, checkpointed, named, short_batches
+from lumbung.llm.turns import in_order
 
 DROPPED, EMPTIED, UNENDED, REPEATED, AS_USER, OUT_OF = 0, 1, 2, 3, 4, 20
 WHITE = r" \t-\r"
@@ -240,10 +240,6 @@ def audits(turns: DataFrame) -> DataFrame:
     )
 
 
-STREAM = "conv_id long, turn long, role string, digest binary, text string, audit string, number long"
-REPAIRED = "conv_id long, number long, place long, edit string, role string, text string"
-
-
 def beside_audits(turns: DataFrame, found: DataFrame) -> DataFrame:
     """Per conversation one row with its audit, then its turns in order; lies by conversation, sorted.
 
@@ -313,7 +309,7 @@ def repaired(conversations: DataFrame, planted: bool = False) -> DataFrame:
             yield batch_of(rows, ("conv_id", "place", "edit", "role", "text"))
 
     schema = "conv_id long, place long, edit string, role string, text string"
-    return beside_audits(turns, audits(turns)).mapInArrow(edited, schema)
+    return beside_audits(turns, audits(turns)).mapInArrow(edited, schema)  # what reports() hashes, row by row
 
 
 def batch_of(rows: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
@@ -336,8 +332,6 @@ def reports(conversations: DataFrame, planted: bool = False) -> DataFrame:
     damage has zeros, an empty audit and the checksum of nothing. Numbers of missing turns beyond 64 bits are null.
     No rows, no conversations.
     """
-    from lumbung.llm.tables import checkpointed
-
     turns = prepared(conversations, planted)
     found = checkpointed(audits(turns))
 

@@ -22,9 +22,9 @@ def in_order(turns: DataFrame, *order: Column) -> DataFrame:
     return placed.withColumn("part", F.shiftright("at", 33).cast("int"))  # Spark keeps the partition in these bits
 
 
-def parts_of(placed: DataFrame, *sums: Column) -> DataFrame:
-    """One row per conversation and part: its ``first`` place, rows (``n``) and ``sums``."""
-    return placed.groupBy("conv_id", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"), *sums)
+def parts_of(placed: DataFrame) -> DataFrame:
+    """One row per conversation and part: its ``first`` place and its number of rows, ``n``."""
+    return placed.groupBy("conv_id", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
 
 
 def before(agg, name: str) -> Column:
