@@ -58,7 +58,7 @@ def land(layers: Layers) -> str:
         for name in names:
             rows = frame.filter(F.col("_source_file") == name).drop(*provenance)
             rows.write.options(**text).csv(f"{root}/{dataset}/{name}")
-    layers.raw_orders.drop("_source_system", "_loaded_at").write.json(f"{root}/{C.ORDER_COLLECTION}")
+    layers.raw_orders.drop("_source_system", "_loaded_at").write.option("compression", "gzip").json(f"{root}/{C.ORDER_COLLECTION}")
     return root
 
 

@@ -40,3 +40,11 @@ def test_lines_of_orders_that_fit_move_once_and_are_written_once(spark, monkeypa
     documents = rawdata.documents_of_orders(lines(spark, {1: 3, 2: 4}), 6)
     assert written == ["large_orders"]
     assert len(shuffles(documents)) == 1
+
+
+def test_tables_and_landed_documents_are_compressed(spark, tmp_path):
+    refresh(spark.range(10), f"{tmp_path}/t")
+    assert glob.glob(f"{tmp_path}/t/*.zstd.parquet")
+    root = queries.land(rawdata.Layers(spark, "/root/testdata/sf0.001"))
+    found = glob.glob(f"{root}/{queries.C.ORDER_COLLECTION}/*.json*")
+    assert found and all(f.endswith(".json.gz") for f in found)
