@@ -565,7 +565,7 @@ def dq_not_null(x: Layers) -> DataFrame:
     lines = [
         quality.RowTest("raw.items", "not_null", c, F.col(c).isNull()) for c in ("qty", "unit_price", "discount")
     ]
-    items = explode_items(x.stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS))
+    items = explode_items(x.settled_stg_orders.select("order_id", "items_jsonb", *C.PART_FIELDS))
     on_raw = quality.row_failures({"raw.orders": first_parts(x.raw_orders), "raw.items": items}, raw + lines)
     return on_raw.unionByName(quality.row_failures(x.marts, quality.not_null_tests()))
 

@@ -48,3 +48,12 @@ def test_tables_and_landed_documents_are_compressed(spark, tmp_path):
     root = queries.land(rawdata.Layers(spark, "/root/testdata/sf0.001"))
     found = glob.glob(f"{root}/{queries.C.ORDER_COLLECTION}/*.json*")
     assert found and all(f.endswith(".json.gz") for f in found)
+
+
+def test_not_null_test_reads_the_staged_orders_that_the_line_items_are_made_from(spark, monkeypatch):
+    built = []
+    compute = rawdata.Layers.compute_stg_orders
+    monkeypatch.setattr(rawdata.Layers, "_written", {})
+    monkeypatch.setattr(rawdata.Layers, "compute_stg_orders", lambda self: built.append(1) or compute(self))
+    queries.QUERIES["dq_not_null"](spark, "/root/testdata/sf0.001").collect()
+    assert len(built) == 1
