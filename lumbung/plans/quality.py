@@ -17,6 +17,7 @@ from lumbung.operators.watch import Watch
 from lumbung.plans.staging import VERSION
 from lumbung.schemas import ITEM_TEXT
 from lumbung.sources.exports import ROW_SHAPE
+from lumbung.sources.tables import settle
 
 
 OUTCOME = "check string, target string, failures long"
@@ -127,9 +128,10 @@ def written_row_failures(spark: SparkSession, tests: Iterable[RowTest], watches:
 def unique_failures(tables: Mapping[str, DataFrame], tests: Iterable[UniqueTest]) -> DataFrame:
     results = []
     for t in tests:
-        # Eight bytes of each key are counted first; only keys whose hash repeats are compared as they are.
+        # Eight bytes of each key are counted first; only keys whose hash repeats are compared as they are. The repeated
+        # hashes are written, so that Spark knows their size: a few are sent to the keys, which then stay where they are.
         keys = tables[t.table].filter(F.col(t.column).isNotNull()).select(t.column, F.xxhash64(t.column).alias("hash"))
-        again = keys.groupBy("hash").count().filter("count > 1").select("hash")
+        again = settle(keys.groupBy("hash").count().filter("count > 1").select("hash"), "repeated_hashes")
         repeated = keys.join(again, "hash", "left_semi").groupBy(t.column).count().filter("count > 1")
         results.append(single("unique", f"{t.table}.{t.column}", repeated.agg(F.count("*").alias("n"))))
     return stack(results)

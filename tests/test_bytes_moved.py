@@ -42,6 +42,15 @@ def test_lines_of_orders_that_fit_move_once_and_are_written_once(spark, monkeypa
     assert len(shuffles(documents)) == 1
 
 
+def test_unique_test_moves_hashes_only(spark):
+    frame = spark.range(1_000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    twice = frame.unionByName(frame.limit(3))
+    for rows, failures in ((frame, 0), (twice, 3)):
+        found = quality.unique_failures({"t": rows}, [quality.UniqueTest("t", "k")])
+        assert found.first().failures == failures
+        assert not [x for x in shuffles(found) if "(hash" in x]
+
+
 def test_tables_and_landed_documents_are_compressed(spark, tmp_path):
     refresh(spark.range(10), f"{tmp_path}/t")
     assert glob.glob(f"{tmp_path}/t/*.zstd.parquet")
