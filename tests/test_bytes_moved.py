@@ -59,6 +59,26 @@ def test_tables_and_landed_documents_are_compressed(spark, tmp_path):
     assert found and all(f.endswith(".json.gz") for f in found)
 
 
+def test_partial_rows_of_a_daily_group_do_not_grow_with_the_tasks(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(500).select(
+            *[(F.col("id") % 1).cast("string").alias(c) for c in ("category", "payment_method", "channel")],
+            F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 1).cast("int")).alias("order_date"),
+            F.col("id").cast("string").alias("order_id"), F.lit("completed").alias("order_status"), F.lit(1).alias("qty"),
+            *[F.lit(2).cast("decimal(18,4)").alias(c) for c in ("gross_revenue_idr", "discount_idr", "cogs_idr")],
+        )
+        daily = sales.fct_daily_sales(rows)
+        assert daily.first().total_orders == 500
+        first, second = sorted(shuffles(daily), key=lambda x: "_task" not in x)
+        assert "_task" in first and "_task" not in second
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_not_null_test_reads_the_staged_orders_that_the_line_items_are_made_from(spark, monkeypatch):
     built = []
     compute = rawdata.Layers.compute_stg_orders
