@@ -20,7 +20,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by a similarity of 0.8 or more (five-word shingles) the document with the smallest id."""
+    """Of each group of texts linked by a similarity of 0.8 or more (five-word shingles) the document with the smallest id.
+
+    Candidates come from the SimHash fingerprints and Golay codewords of ``op1`` and from bands of minima.
+    """
     return near_copies.one_of_each(docs)
 
 

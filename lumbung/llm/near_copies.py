@@ -3,8 +3,9 @@
 Candidates share a band: five minima of the shingles under as many hash
 functions. There are ``BANDS`` of them, so a pair of similarity s is missed with a
 probability of (1 - s^5)^40: one in eight million at 0.8, less above it, while
-texts that share one passage hardly ever meet. Nothing is capped, and how often a
-shingle occurs does not matter.
+texts that share one passage hardly ever meet. Texts whose SimHash fingerprints
+are linked by their Golay codewords (see ``simhash``) share one more band, however
+the minima fall. Nothing is capped, and how often a shingle occurs does not matter.
 
 Every band links its texts to one of them, its center: the text that meets the
 most others, which for edited copies is the one closest to their original. Both
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.llm.simhash import SEED, connected, first_rows
+from lumbung.llm.simhash import SEED, connected, fingerprint, first_rows, rooted
 from lumbung.llm.tables import checkpointed, ids_and_texts
 
 SHINGLE_WORDS = 5
@@ -144,9 +145,17 @@ def comparisons(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFra
     return both.select("center", "key", "size", "center_size", "c.lacks", "c.beyond")
 
 
-def centered(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (center, key): every text with the centers of its bands."""
+def fingerprint_bands(marked: DataFrame) -> DataFrame:
+    """Distinct (key, band): one band per group of fingerprints that are linked at two or fewer differing bits."""
+    groups = rooted(marked).select("fingerprint", F.xxhash64(F.lit("fingerprint"), "root").alias("band"))
+    return marked.select("key", "fingerprint").distinct().join(groups, "fingerprint").select("key", "band").distinct()
+
+
+def centered(nodes: DataFrame, further: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (center, key): every text with the centers of its bands, its own and ``further`` ones (key, band)."""
     banded = nodes.select("key", F.explode("bands").alias("band"))
+    if further is not None:
+        banded = banded.unionByName(further)
     # Most bands have one text and go at once; the others are few enough to be broadcast, or are joined.
     met = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     met = checkpointed(banded.join(met, "band"))
@@ -199,9 +208,9 @@ def undecided(records: DataFrame) -> DataFrame:
     return checkpointed(pairs[0].union(pairs[1]).distinct())
 
 
-def links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def links(nodes: DataFrame, texts: DataFrame, further: DataFrame | None = None) -> DataFrame:
     """Pairs ``a``, ``b`` of similar sets, enough of them to connect every group."""
-    first = checkpointed(comparisons(centered(nodes), nodes, texts))
+    first = checkpointed(comparisons(centered(nodes, further), nodes, texts))
     found = first.unionByName(comparisons(undecided(first), nodes, texts))
     return found.filter(similar_sets()).select(F.col("center").alias("a"), F.col("key").alias("b"))
 
@@ -213,10 +222,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows are one. Columns keep their names and values, whatever they are called. No rows, no rows.
     """
     texts = ids_and_texts(docs)
-    marked = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), described("text").alias("set"))
+    marked = texts.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), described("text").alias("set"), fingerprint("text").alias("fingerprint")
+    )
+    marked = checkpointed(marked.select("doc_id", "text_hash", "fingerprint", "set.*"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    nodes = marked.groupBy("set.key").agg(F.min(order).alias("first"), F.any_value("set").alias("set"))
-    nodes = checkpointed(nodes.select("key", "first", "set.size", "set.bands"))
-    roots = connected(links(nodes, texts)).withColumnRenamed("node", "key")
+    of_set = [F.any_value(c).alias(c) for c in ("size", "bands")]
+    nodes = checkpointed(marked.groupBy("key").agg(F.min(order).alias("first"), *of_set))
+    roots = connected(links(nodes, texts, fingerprint_bands(marked))).withColumnRenamed("node", "key")
     found = nodes.select("key", "first").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     return first_rows(docs, found)

@@ -109,3 +109,26 @@ def test_texts_that_resemble_one_another_too_little_do_not_make_all_pairs(spark,
     assert stars < 6 * 150 and more_stars < 6 * 300 and left < 2 * 150 and more_left < 2 * 300, sizes
     kept = corpus_pipeline.without_near_duplicates(spark, documents(*texts.items()), str(tmp_path)).collect()
     assert sorted(r["doc_id"] for r in kept) == plain_kept(texts)
+
+
+def test_fingerprints_propose_pairs_whatever_their_minima(spark, documents):
+    """Without a band in common, texts whose fingerprints are linked are compared still, and only similar ones are linked."""
+    dice = random.Random(14)
+    base = [f"w{i}" for i in dice.sample(range(9_000), 900)]
+    filler = " ".join(["over and again"] * 400)  # three shingles decide every bit
+
+    def near(text):
+        return (simhash.fingerprint_of(text.encode()) ^ simhash.fingerprint_of(" ".join(base).encode())).bit_count() <= 2
+
+    texts = {1: " ".join(base), 2: next(filter(near, (" ".join([*base, f"more{i}"]) for i in range(1_000)))), 3: " ".join(base[:450]), 4: f"{filler} one end", 5: f"{filler} {' '.join(base[:9])}"}
+    plain = {i: simhash.fingerprint_of(t.encode()) for i, t in texts.items()}
+    assert (plain[1] ^ plain[2]).bit_count() <= 2 and (plain[4] ^ plain[5]).bit_count() <= 2
+    docs = near_copies.ids_and_texts(documents(*texts.items()))
+    marked = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), near_copies.described("text").alias("set"), simhash.fingerprint("text").alias("fingerprint")
+    ).select("doc_id", "text_hash", "fingerprint", "set.*")
+    first = F.struct(F.lit(False).alias("none"), "doc_id", "text_hash").alias("first")
+    nodes = marked.select("key", first, "size", F.array().cast("array<bigint>").alias("bands"))
+    ids = {r["key"]: r["doc_id"] for r in marked.collect()}
+    found = near_copies.links(nodes, docs, near_copies.fingerprint_bands(marked)).collect()
+    assert [sorted((ids[r["a"]], ids[r["b"]])) for r in found] == [[1, 2]]
