@@ -15,6 +15,7 @@ import base64
 import functools
 from array import array
 from heapq import heappop, heappush
+from sys import getsizeof
 
 import numpy as np
 import public_tokenizers
@@ -29,7 +30,8 @@ from lumbung.llm.tables import whole_rows
 RANKS = "byte_bpe_50k.tiktoken"
 BITS = 8  # 2**BITS ranks in a word of the lower bitmap
 MASK = (1 << BITS) - 1
-MOST_REMEMBERED = 1_000_000  # stretches, and as many pieces, that a worker keeps: a bound of some 500 MB
+REMEMBERED_BYTES = 160 * 1024**2  # of strings and their ids that a worker keeps, however many texts it meets
+BYTES_PER_ENTRY = 64  # of the dictionary itself
 LONGEST_REMEMBERED = 64
 
 
@@ -93,21 +95,29 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Remembered(dict):
-    """Ids of stretches of text that start after ``lead`` and end before white space or at the end.
+    """Ids of short strings that begin with a pre-token and end with one: pre-tokens, and words with what is at them.
 
-    None for a stretch with white space at an edge, which the pattern may join with its surroundings.
+    There are two generations with half of the budget in bytes each. When the younger one is full it becomes the older
+    one, whose strings are forgotten unless they are met again meanwhile. A pre-token is cut alone as it is in its text:
+    the pattern looks ahead behind white space only.
     """
 
-    def __init__(self, lead: str, codec: Codec):
+    def __init__(self, codec: Codec, budget: int):
         super().__init__()
-        self.lead, self.codec = lead, codec
+        self.codec, self.half, self.older = codec, budget // 2, {}
+        self.room = self.half
 
-    def __missing__(self, part: str) -> bytes | None:
-        unsafe = not part or self.codec.edge.search(part)
-        ids = None if unsafe else self.codec.pieces(self.lead + part)
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.codec.pieces(part)
         if len(part) <= LONGEST_REMEMBERED:
-            if len(self) >= MOST_REMEMBERED:
+            self.room -= getsizeof(part) + getsizeof(ids) + BYTES_PER_ENTRY
+            if self.room < 0:
+                self.older = None  # given back before the copy is made
+                self.older = self.copy()
                 self.clear()
+                self.room = self.half
             self[part] = ids
         return ids
 
@@ -115,7 +125,7 @@ class Remembered(dict):
 class Codec:
     """Token ids are kept as packed 32-bit numbers, which join without an object per token."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, budget: int = REMEMBERED_BYTES):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         tokens = [b""] * (max(self.ranks.values()) + 1)
@@ -123,32 +133,25 @@ class Codec:
             tokens[rank] = token
         self.tokens = pa.array(tokens, pa.large_binary())
         self.pattern = regex.compile(pattern)
-        self.edge = regex.compile(r"\A\s|\s\Z")
-        self.first, self.spaced = Remembered("", self), Remembered(" ", self)
-        self.merged: dict[str, bytes] = {}
+        # White space at an edge or next to a space, which the pattern may join with its surroundings.
+        self.loose = regex.compile(r"\A\s|\s\Z| \s|\s ")
+        self.remembered = Remembered(self, budget)
 
     def pieces(self, text: str) -> bytes:
-        ids = []
-        for piece in self.pattern.findall(text):
-            found = self.merged.get(piece)
-            if found is None:
-                found = array("i", merge(piece.encode(), self.ranks)).tobytes()
-                if len(piece) <= LONGEST_REMEMBERED:
-                    if len(self.merged) >= MOST_REMEMBERED:
-                        self.merged.clear()
-                    self.merged[piece] = found
-            ids.append(found)
-        return b"".join(ids)
+        found = self.pattern.findall(text)
+        if len(found) == 1 and len(found[0]) == len(text):
+            return array("i", merge(text.encode(), self.ranks)).tobytes()
+        return b"".join(map(self.remembered.__getitem__, found))
 
     def encode(self, text: str) -> bytes:
         """A single space always begins a pre-token, so words between single spaces can be looked up one by one."""
         if not text:
             return b""
-        head, *rest = text.split(" ")
-        found = [self.first[head], *map(self.spaced.__getitem__, rest)]
-        if None in found:
+        if self.loose.search(text):
             return self.pieces(text)
-        return b"".join(found)
+        known = self.remembered
+        head, *rest = text.split(" ")
+        return b"".join([known[head], *[known[" " + part] for part in rest]])
 
     def encode_all(self, texts: pa.Array) -> pa.ListArray:
         found = [self.encode(text) if text else b"" for text in texts.to_pylist()]

@@ -6,6 +6,7 @@ import random
 import re
 import string
 import time
+import tracemalloc
 from array import array
 from collections import Counter, defaultdict
 
@@ -54,6 +55,27 @@ def test_every_character_is_cut_like_the_library(codec, library):
         assert list(array("i", codec.encode(text))) == library.encode_ordinary(text), hex(start)
 
 
+def test_remembered_ids_stay_within_their_bytes(library):
+    budget = 1 << 20
+    codec = bpe.Codec(PATH, public_tokenizers.PATTERN, budget)
+    dice = random.Random(6)
+    texts = []
+    for _ in range(60):  # ever new words, some of them with a line's end inside, and one that comes again and again
+        words = ["".join(dice.choices(string.ascii_lowercase, k=9)) + dice.choice(["", "", ",", ".\nA", "é"]) for _ in range(400)]
+        texts.append("often " + " often ".join(words))
+    texts += texts[:2] + [texts[0].replace(" ", "  "), f" {texts[1]} ", "a\0b a\u2003 b \u2003c"]
+    tracemalloc.start()
+    try:
+        peak = 0
+        for text in texts:
+            assert list(array("i", codec.encode(text))) == library.encode_ordinary(text)
+            peak = max(peak, tracemalloc.get_traced_memory()[0])
+    finally:
+        tracemalloc.stop()
+    assert budget / 4 < peak < 1.5 * budget
+    assert " often" in codec.remembered and texts[20].split(" ")[1] not in codec.remembered
+
+
 def test_query_digests(spark, documents, codec, library, tmp_path):
     from lumbung.llm.queries import QUERIES
 
