@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import functools
 from array import array
+from collections.abc import Callable
 from heapq import heappop, heappush
 from sys import getsizeof
 
@@ -108,9 +109,12 @@ class Remembered(dict):
         self.room = self.half
 
     def __missing__(self, part: str) -> bytes:
+        return self.kept(part, self.codec.pieces)
+
+    def kept(self, part: str, encode: Callable[[str], bytes]) -> bytes:
         ids = self.older.get(part)
         if ids is None:
-            ids = self.codec.pieces(part)
+            ids = encode(part)
         if len(part) <= LONGEST_REMEMBERED:
             self.room -= getsizeof(part) + getsizeof(ids) + BYTES_PER_ENTRY
             if self.room < 0:
@@ -133,21 +137,25 @@ class Codec:
             tokens[rank] = token
         self.tokens = pa.array(tokens, pa.large_binary())
         self.pattern = regex.compile(pattern)
-        # White space at an edge or next to a space, which the pattern may join with its surroundings.
-        self.loose = regex.compile(r"\A\s|\s\Z| \s|\s ")
+        # White space next to a space, which the pattern may join with its surroundings.
+        self.loose = regex.compile(r" (?:\s|(?<=\s ))")
         self.remembered = Remembered(self, budget)
 
     def pieces(self, text: str) -> bytes:
         found = self.pattern.findall(text)
         if len(found) == 1 and len(found[0]) == len(text):
-            return array("i", merge(text.encode(), self.ranks)).tobytes()
-        return b"".join(map(self.remembered.__getitem__, found))
+            return self.merged(text)
+        known = self.remembered
+        return b"".join([known.get(piece) or known.kept(piece, self.merged) for piece in found])
+
+    def merged(self, piece: str) -> bytes:
+        return array("i", merge(piece.encode(), self.ranks)).tobytes()
 
     def encode(self, text: str) -> bytes:
         """A single space always begins a pre-token, so words between single spaces can be looked up one by one."""
         if not text:
             return b""
-        if self.loose.search(text):
+        if text[0].isspace() or text[-1].isspace() or self.loose.search(text):
             return self.pieces(text)
         known = self.remembered
         head, *rest = text.split(" ")
